@@ -1,13 +1,15 @@
 """Queries over the driver's tables, with their SQL oracles."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from lodestar.plans import entity_queries, trial_queries
 
+flagship = trial_queries.flagship
 
-def oracles():
-    return {}
 
+def queries() -> dict:
+    return trial_queries.QUERIES | entity_queries.QUERIES
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+
+def oracles() -> dict[str, str]:
+    return trial_queries.ORACLES | entity_queries.ORACLES

@@ -1,0 +1,7 @@
+"""Readers; functions that run on executors are pickled by value."""
+
+from pyspark import cloudpickle
+
+import lodestar.sources as _own
+
+cloudpickle.register_pickle_by_value(_own)
