@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from lodestar.plans import entity_queries, trial_queries
+from lodestar.plans import analysis_queries, entity_queries, trial_queries
 
+PLANS = (trial_queries, entity_queries, analysis_queries)
 flagship = trial_queries.flagship
 
 
 def queries() -> dict:
-    return trial_queries.QUERIES | entity_queries.QUERIES
+    return {k: f for p in PLANS for k, f in p.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
-    return trial_queries.ORACLES | entity_queries.ORACLES
+    return {k: s for p in PLANS for k, s in p.ORACLES.items()}
