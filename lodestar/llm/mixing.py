@@ -90,7 +90,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", token
     n = word_tokens("text") if tokens is None else tokens
     keep = [c for c in carry if c not in (id_col, source_col)]
     rows = df.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), n.alias("_n"), *(F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)))
-    light = rows.select("_id", "_src", "_n")
+    light = settle(rows.select("_id", "_src", "_n"))  # texts are read and counted once
+    rows = rows if keep else light
     stats = {r["_src"]: (r["t"], r["d"]) for r in light.groupBy("_src").agg(F.sum("_n").alias("t"), F.count("*").alias("d")).collect()}
     have = {k: t for k, (t, _) in stats.items() if t > 0}
     types = dict(df.dtypes)

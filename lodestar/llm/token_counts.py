@@ -36,16 +36,22 @@ def load_pieces(path: str) -> dict[str, float]:
     return {n: -math.log(k) - total for k, n in enumerate(names, 1)}
 
 
-def trie_counts(words: list[str], pieces: dict[str, float]) -> list[int]:
+def piece_tails(pieces: dict[str, float]) -> dict[str, float | None]:
+    """All ends of pieces; the whole ones with their score.  What is no end of a piece can't become one by
+    more letters before it."""
+    tails: dict[str, float | None] = dict.fromkeys(p[i:] for p in pieces for i in range(1, len(p)))
+    return tails | pieces
+
+
+def trie_counts(words: list[str], pieces: dict[str, float], tails: dict[str, float | None] | None = None) -> list[int]:
     """Tokens of the best segmentation of each distinct word; of equal scores, the fewest tokens.
 
     Walks the trie of the words depth first, in their sorted order: what two neighbours share is on
     the path already, so each node is scored once and only one path is in memory.  A character that
     is no piece costs a token a byte of UTF-8, each as unlikely as the least likely piece, less 1.
     """
-    longest = max(map(len, pieces), default=1)
     fall = min(pieces.values(), default=0.0) - 1
-    get = pieces.get
+    get, none = (piece_tails(pieces) if tails is None else tails).get, ()
     score, count, before = [0.0], [0], ""
     out = [0] * len(words)
     for k in sorted(range(len(words)), key=words.__getitem__):
@@ -57,8 +63,11 @@ def trie_counts(words: list[str], pieces: dict[str, float]) -> list[int]:
         for end in range(shared + 1, len(word) + 1):
             n = len(word[end - 1].encode("utf-8", "surrogatepass"))
             best, tokens = score[end - 1] + fall * n, count[end - 1] + n
-            for at in range(max(0, end - longest), end):
-                if (p := get(word[at:end])) is not None:
+            for at in range(end - 1, -1, -1):
+                p = get(word[at:end], none)
+                if p is none:
+                    break
+                if p is not None:
                     s = score[at] + p
                     if s > best or (s == best and count[at] + 1 < tokens):
                         best, tokens = s, count[at] + 1
@@ -75,7 +84,8 @@ def count_tokens(df: DataFrame, pieces_path: str, id_col: str = "doc_id", text_c
     Null, empty and blank texts have 0 of both.  Repeated rows each give a row; other columns are not
     read.  The piece table (of a fixed size) is read on the driver and sent to the executors.
     """
-    pieces = df.sparkSession.sparkContext.broadcast(load_pieces(pieces_path))
+    pieces = load_pieces(pieces_path)
+    sent = df.sparkSession.sparkContext.broadcast((pieces, piece_tails(pieces)))
 
     def counted(batches):
         known: dict[str, int] = worker_cache().setdefault(("tokens", pieces_path), {})
@@ -84,7 +94,7 @@ def count_tokens(df: DataFrame, pieces_path: str, id_col: str = "doc_id", text_c
             if len(known) > CACHE_WORDS:
                 known.clear()
             new = list({w for t in texts for w in t}.difference(known))
-            known.update(zip(new, trie_counts([MARK + w for w in new], pieces.value), strict=True))
+            known.update(zip(new, trie_counts([MARK + w for w in new], *sent.value), strict=True))
             n = np.array([len(t) for t in texts], dtype=np.int64)
             total = np.array([sum(map(known.__getitem__, t)) for t in texts], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(total)], names=[id_col, "n_pretokens", "n_tokens"])
