@@ -17,17 +17,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, per_task: int | None = None) -> DataFrame:
     """Write df to the checkpoint folder that the cluster shares and go on from there.
 
     The folder is the session's spark.checkpoint.dir; only where that is unset (tests) a
-    temporary one is used.
+    temporary one is used.  With per_task, what comes back has a partition for so many rows: after a
+    shuffle of few rows over many partitions, the next ones then leave few files.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestar-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    return out if per_task is None else out.coalesce(max(4, out.count() // per_task))
 
 
 def id_bucket(id_col: str, modulus: int) -> Column:
