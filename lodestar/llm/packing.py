@@ -23,19 +23,32 @@ from lodestar.llm.common import is_small, settle, worker_cache
 
 END = 0
 #: Distinct units that a worker remembers before it starts over: a bound on its memory.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 #: Weights are whole numbers of this sum or a little more.
 WEIGHT_SUM = 1 << 20
 #: Offsets of (partition, source) pairs are sent to all executors up to so many rows, else joined.
 SMALL_ROWS = 200_000
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable ones stand for themselves, the
+    others for the code points from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(rest)} | {b: chr(b) for b in plain}
+
+
+BYTE_LETTERS = byte_letters()
+TAIL = ".,;:!?"
+
+
 class Encoder:
     """Ids of texts, as the tokenizer gives them.
 
-    A byte-level tokenizer cuts before every single blank that stands between two other characters, so
-    a text is split there and each distinct unit is encoded once.  Texts with other runs that touch a
-    blank (two white space characters in a row, blanks at an end) are encoded whole.
+    A byte-level tokenizer cuts before every blank that stands between two other characters, so a text
+    is split there and each distinct unit is encoded once; new units are encoded as one long text and
+    told apart by the bytes that their tokens stand for.  Texts in which a blank touches other white
+    space or an end are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -43,33 +56,92 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.model = self.tokenizer.model
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():  # a byte-level token has a character for each byte
+            self.bytes_of[i] = len(token)
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        self.starts, self.ends = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
+        self.used = 0
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def splits(text: str) -> list[str] | None:
-        parts = text.split(" ")
-        if len(parts) > 1 and ("" in parts or any(p[0].isspace() or p[-1].isspace() for p in parts)):
+    def keep(self, units: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Remember units, whose ids follow each other and end at `ends`."""
+        first, n = len(self.rows), len(units)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while first + n > len(self.starts):
+            self.starts, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.ends))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.ends[first : first + n] = ends + self.used
+        self.starts[first : first + n] = np.concatenate([[0], ends[:-1]]) + self.used
+        self.rows.update(zip(units, range(first, first + n), strict=True))
+        self.used += len(ids)
+
+    def word(self, unit: str) -> list[int] | None:
+        """Ids of a blank, letters and punctuation, which are cut into two runs at most: the model alone."""
+        core = unit.rstrip(TAIL)
+        if not core.isalpha():
             return None
-        return [parts[0], *(" " + p for p in parts[1:])]
+        text = BYTE_LETTERS[32] + core if core.isascii() else (" " + core).encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return ids if len(core) == len(unit) else ids + [t.id for t in self.model.tokenize(unit[len(core) :])]
+
+    def learn(self, units: set[str]) -> None:
+        """Encode units: one that begins a text has a blank before it here, all others have it in the text.
+        Units that can't be told from their neighbours get no ids."""
+        hard = [u for u in units if not u or u == " " or u[-1].isspace() or (u[0] != " " and u[0].isspace())]
+        units.difference_update(hard)
+        self.keep(hard, np.zeros(0, dtype=np.uint32), np.zeros(len(hard), dtype=np.int64))
+        heads = [u for u in units if u[0] == " "]
+        units.difference_update(heads)
+        if heads:
+            ids = self.whole([u[1:] for u in heads])
+            self.keep(heads, np.concatenate(ids), np.cumsum([len(x) for x in ids]))
+        words = [(u, ids) for u in units if (ids := self.word(u)) is not None]
+        if words:
+            self.keep([u for u, _ in words], np.array([i for _, ids in words for i in ids], dtype=np.uint32), np.cumsum([len(ids) for _, ids in words]))
+        rest = list(units.difference(u for u, _ in words))
+        for at in range(0, len(rest), 20_000):
+            some = rest[at : at + 20_000]
+            ids = self.whole([" " + " ".join(some)])[0]
+            reach = np.cumsum(self.bytes_of[ids])
+            goal = np.cumsum([len(u.encode("utf-8")) + 1 for u in some])
+            ends = np.searchsorted(reach, goal) + 1
+            if not np.array_equal(reach[ends - 1], goal):
+                raise ValueError("the tokenizer doesn't cut before blanks")
+            self.keep(some, ids, ends)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, and END."""
         if len(self.rows) > CACHE_UNITS:
             self.clear()
-        cut = [self.splits(t) for t in texts]
-        new = list({u for c in cut if c for u in c}.difference(self.rows))
-        for u, ids in zip(new, self.whole(new), strict=True):
-            self.rows[u] = len(self.ids)
-            self.ids.append(ids)
-        hard = iter(self.whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        end, rows, known = np.array([END], dtype=np.uint32), self.rows, self.ids
-        return [np.concatenate([next(hard) if c is None else np.concatenate([known[rows[u]] for u in c]), end]) for c in cut]
+        flat: list[str] = []
+        counts = []
+        for t in texts:
+            parts = t.split(" ")
+            parts[0] = " " + parts[0]
+            flat += parts
+            counts.append(len(parts))
+        self.learn(set(flat).difference(self.rows))
+        unit = np.fromiter(map(self.rows.__getitem__, flat), dtype=np.int64, count=len(flat))
+        starts, size = self.starts[unit], self.ends[unit] - self.starts[unit]
+        reach = np.cumsum(size)
+        ids = self.ids[np.repeat(starts - (reach - size), size) + np.arange(reach[-1] if len(reach) else 0)]
+        last = np.cumsum(counts)
+        whole = np.minimum.reduceat(size, last - counts) == 0 if len(counts) else np.zeros(0, dtype=bool)
+        stop = reach[last - 1] if len(counts) else reach
+        begin = np.concatenate([[0], stop[:-1]]) if len(counts) else stop
+        instead = iter(self.whole([t for t, w in zip(texts, whole, strict=True) if w]))
+        end = np.array([END], dtype=np.uint32)
+        return [np.concatenate([next(instead) if w else ids[i:j], end]) for w, i, j in zip(whole, begin, stop, strict=True)]
 
 
 def encoded(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -86,7 +158,7 @@ def encoded(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, sour
             at = 0
             while at < len(texts):  # some MB at a time
                 to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) < 2 << 20):
+                while to < len(texts) and (to == at or size + len(texts[to]) < 4 << 20):
                     size += len(texts[to])
                     to += 1
                 ids = encoder.encode(texts[at:to])
