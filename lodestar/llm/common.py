@@ -37,9 +37,13 @@ def id_bucket(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
 
 
-def worker_cache() -> dict:
-    """A dict that lives as long as the Python worker (functions are shipped by value)."""
-    return sys.__dict__.setdefault("_lodestar_cache", {})
+def worker_cache(owner: str) -> dict:
+    """A dict that lives as long as the Python worker (functions are shipped by value), or until another
+    owner asks for one: workers are used again by later stages, whose memory it would take."""
+    held = sys.__dict__.get("_lodestar_cache")
+    if held is None or held[0] != owner:
+        held = sys.__dict__["_lodestar_cache"] = (owner, {})
+    return held[1]
 
 
 def is_small(df: DataFrame, rows: int) -> bool:

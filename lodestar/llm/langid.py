@@ -154,7 +154,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     key = ("langid", hash(tuple(sorted(samples.items()))))
 
     def predict(batches):
-        cache = worker_cache()
+        cache = worker_cache("langid")
         if samples and key not in cache:
             cache[key] = Parser(samples)
         for b in batches:

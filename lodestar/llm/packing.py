@@ -150,7 +150,7 @@ def encoded(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, sour
     types = dict(df.dtypes)
 
     def run(batches):
-        cache, part, queue = worker_cache(), TaskContext.get().partitionId(), {}
+        cache, part, queue = worker_cache("packing"), TaskContext.get().partitionId(), {}
         encoder = cache.get(("encoder", tokenizer_path)) or cache.setdefault(("encoder", tokenizer_path), Encoder(tokenizer_path))
         width = np.dtype("<u2") if encoder.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         for b in batches:

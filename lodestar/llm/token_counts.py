@@ -88,7 +88,7 @@ def count_tokens(df: DataFrame, pieces_path: str, id_col: str = "doc_id", text_c
     sent = df.sparkSession.sparkContext.broadcast((pieces, piece_tails(pieces)))
 
     def counted(batches):
-        known: dict[str, int] = worker_cache().setdefault(("tokens", pieces_path), {})
+        known: dict[str, int] = worker_cache("token_counts").setdefault(("tokens", pieces_path), {})
         for b in batches:
             texts = [(t or "").split() for t in b.column(1).to_pylist()]
             if len(known) > CACHE_WORDS:
