@@ -5,6 +5,10 @@ that share the longest prefix stand next to each other, so every document's cand
 neighbours with a common prefix of MIN_DEPTH hashes at least; where many documents share that much,
 sorting by the hashes that follow makes the region's depth grow by itself.  Candidates are confirmed
 on the full shingle sets, and components of confirmed links are classes.
+
+Neighbours alone lose pairs in a region of many documents.  All documents of such regions also go
+through an exact prefix-filter join on their shingles, which names every pair that can reach the
+threshold and isn't linked yet.
 """
 
 from __future__ import annotations
@@ -21,8 +25,12 @@ from lodestar.llm.components import components
 
 #: Hashes that neighbours must share, and hashes that a tree sorts by.
 MIN_DEPTH, DEPTH = 4, 8
-#: Neighbours on either side that a document is compared with in each tree.
-REACH = 2
+#: Neighbours on either side that a document is compared with in each tree; all pairs of a region of
+#: REACH + 1 rows are candidates, the rows of larger ones are crowded and joined exactly.
+REACH = 4
+#: Crowded documents whose shingles are counted for the order of the prefix filter, and shingles that
+#: count as common; both only steer the work.
+SAMPLE, COMMON = 20_000, 200_000
 CACHE_WORDS = 300_000
 #: Pairs or links that a task takes on, at least.
 PER_TASK = 20_000
@@ -82,12 +90,12 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, trees: i
     return df.select(F.col(id_col).alias("_i"), F.col(text_col)).mapInArrow(run, f"_i {kind}, n long, d1 long, d2 long, sig binary")
 
 
-def neighbours(reps: DataFrame, trees: int) -> DataFrame:
+def neighbours(reps: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs a < b with the number of trees that name them (votes).
 
     The rows of all trees are sorted as one table, dealt out by ranges of (tree, signature, id), so a
     region of any size spreads over tasks; pairs across a border between two ranges are found from
-    the rows at the ends of each.
+    the rows at the ends of each.  Also the ids of crowded rows, those of regions of more than REACH + 1.
     """
     kind = dict(reps.dtypes)["_i"]
     step, width = 4 * MIN_DEPTH, 4 * DEPTH
@@ -103,35 +111,96 @@ def neighbours(reps: DataFrame, trees: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            if len(first) < REACH:
-                first += b.slice(0, REACH - len(first)).to_pylist()
+            if len(first) <= REACH:
+                first += b.slice(0, REACH + 1 - len(first)).to_pylist()
             now = pa.Table.from_batches([b])
             joined = now if table is None else pa.concat_tables([table, now])
             ids = joined.column("_i").combine_chunks()
             trees_, keys = joined.column("tree").to_numpy(), joined.column("key").to_pylist()
             heads = np.frombuffer(b"".join(k[:step] for k in keys), dtype=np.dtype((np.void, step)))
             old = 0 if table is None else table.num_rows
-            for d in range(1, REACH + 1):
+            for d in range(1, REACH + 2):
                 if len(ids) > d:
                     hit = np.flatnonzero((heads[d:] == heads[:-d]) & (trees_[d:] == trees_[:-d]) & (np.arange(d, len(ids)) >= old))
-                    if len(hit):
+                    if d > REACH:  # a row with REACH + 1 others behind it: all of them are crowded
+                        hit = np.unique(hit[:, None] + np.arange(d + 1))
+                        none = pa.nulls(len(hit), pa.int32())
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(hit)), pa.nulls(len(hit), ids.type), none, none, none, pa.nulls(len(hit), pa.binary())], names=names)
+                    elif len(hit):
                         none = pa.nulls(len(hit), pa.int32())
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array(hit)), ids.take(pa.array(hit + d)), none, none, none, pa.nulls(len(hit), pa.binary())], names=names)
-            table = joined.slice(max(0, joined.num_rows - REACH))
+            table = joined.slice(max(0, joined.num_rows - REACH - 1))
         if table is not None:
             last = table.to_pylist()
             ends = [(r, k) for k, r in enumerate(first)] + [(r, 1000 + k) for k, r in enumerate(last)]
             yield pa.RecordBatch.from_arrays([pa.array([r["_i"] for r, _ in ends], ids.type), pa.nulls(len(ends), ids.type), pa.array([part] * len(ends), pa.int32()), pa.array([k for _, k in ends], pa.int32()), pa.array([r["tree"] for r, _ in ends], pa.int32()), pa.array([r["key"] for r, _ in ends], pa.binary())], names=names)
 
     found = settle(ordered.mapInArrow(run, f"a {kind}, b {kind}, part int, place int, tree int, key binary"))
-    inner = found.where("part is null").select("a", "b")
+    inner = found.where("part is null and b is not null").select("a", "b")
     # a row may be among the first and the last of a small range: the table of ends is distinct by row
     ends = found.where("part is not null").select("tree", "key", F.col("a").alias("_i")).distinct()
     order = Window.partitionBy("tree", F.substring("key", 1, step)).orderBy("key", "_i")
     border = [ends.select("_i", F.lead("_i", d).over(order).alias("b")).where("b is not null").select(F.col("_i").alias("a"), "b") for d in range(1, REACH + 1)]
     for more in border:
         inner = inner.unionByName(more)
-    return inner.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(F.count("*").alias("votes"))
+    run_of = F.collect_list("_i").over(order.rowsBetween(0, REACH + 1))
+    across = ends.select(run_of.alias("_r")).where(F.size("_r") > REACH + 1).select(F.explode("_r").alias("_i"))
+    crowded = found.where("part is null and b is null").select(F.col("a").alias("_i")).unionByName(across).distinct()
+    return inner.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(F.count("*").alias("votes")), crowded
+
+
+def shingle_rows(texts: DataFrame, shingle: int, percent: int | None, common: np.ndarray) -> DataFrame:
+    """_i, n (set size), at (place in the set's order), s (shingle) of the texts _i, _t: of each set the
+    prefix that a partner must meet, or with percent None all.  The order is the same for all sets:
+    first shingles that aren't common, by hash, then the common ones, rarest first.
+    """
+    kind = dict(texts.dtypes)["_i"]
+    by_hash = np.argsort(common)
+    sent = texts.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
+
+    def run(batches):
+        known = worker_cache("near_dups").setdefault("shingle words", {})
+        hashes, rank = sent.value
+        for b in batches:
+            for i, t in enumerate(b.column(1).to_pylist()):
+                if len(known) > CACHE_WORDS:
+                    known.clear()
+                x = shingle_hashes(t or "", shingle, known)
+                if not len(x):
+                    continue
+                n = len(x)
+                if percent is not None:
+                    if len(hashes):
+                        place = np.minimum(np.searchsorted(hashes, x), len(hashes) - 1)
+                        x = x[np.argsort(np.where(hashes[place] == x, rank[place] + 1, 0), kind="stable")]
+                    x = x[: n - -(-percent * n // 100) + 1]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.full(len(x), i))), pa.array(np.full(len(x), n, dtype=np.int32)), pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x.view(np.int64))], names=["_i", "n", "at", "s"])
+
+    return texts.select("_i", "_t").mapInArrow(run, f"_i {kind}, n int, at int, s long")
+
+
+def crowded_pairs(crowded: DataFrame, texts: DataFrame, of: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """All pairs a < b of crowded documents that aren't in one component of `of` and can share percent of
+    their shingles.
+
+    Two such sets meet within the prefixes of one order, and from the place where they first meet, what
+    follows in either must still hold the overlap.  Shingles whose documents are all linked already name
+    nothing, so a group of near-duplicates costs no pairs of its own.
+    """
+    some = settle(texts.join(crowded, "_i"), PER_TASK)
+    rate = max(1, some.count() // SAMPLE)
+    drawn = some.where(F.pmod(F.xxhash64("_i"), F.lit(rate)) == 0)
+    counts = shingle_rows(drawn, shingle, None, np.zeros(0, dtype=np.uint64)).groupBy("s").count().where("count > 2")
+    top = counts.orderBy(F.desc("count"), "s").limit(COMMON).select("s").collect()
+    common = np.array([r["s"] for r in reversed(top)], dtype=np.int64).view(np.uint64)
+    rows = shingle_rows(some, shingle, percent, common).join(of.select(F.col("node").alias("_i"), "component"), "_i", "left")
+    rows = settle(rows.withColumn("c", F.coalesce("component", "_i")).drop("component"))
+    mixed_ = rows.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("s")
+    left = settle(rows.join(mixed_, "s"), 10 * PER_TASK)
+    a, b = (left.select("s", *(F.col(x).alias(f"{x}_{side}") for x in ("_i", "n", "at", "c"))) for side in "ab")
+    enough = (100 + percent) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= percent * (F.col("n_a") + F.col("n_b"))
+    met = a.join(b, (a["s"] == b["s"]) & (F.col("c_a") < F.col("c_b")) & enough)
+    return met.select(F.least("_i_a", "_i_b").alias("a"), F.greatest("_i_a", "_i_b").alias("b")).where("a != b").distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -167,7 +236,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sh
     set, its smallest id, enters the forest.  Two documents that share 80 % of their shingles are in
     no region together with a chance of (1 - 0.8 ** 4) ** 20 < 0.003 %.  First every document's most
     named candidate is confirmed, then only pairs whose ends aren't linked yet, so a large group costs
-    a few confirmations a member.
+    a few confirmations a member.  Last, all pairs still open among documents of crowded regions are
+    taken from an exact join, so how many others stand between two documents loses no link.
 
     Null and empty texts have 0 shingles and are linked with nothing.  A null id is in no class: its
     component is null and it's kept.  Rows that share an id are one document for links: any of their
@@ -178,7 +248,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sh
     sets = sigs.where("n > 0 and _i is not null").groupBy("d1", "d2").agg(F.min("_i").alias("_i"), F.first("sig").alias("sig"))
     reps = settle(sets, PER_TASK)
     texts = df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
-    left = settle(neighbours(reps, trees), PER_TASK)
+    left, crowded = neighbours(reps, trees)
+    left, crowded = settle(left, PER_TASK), settle(crowded, PER_TASK)
     ends = left.select(F.col("a").alias("node"), "a", "b", "votes").unionByName(left.select(F.col("b").alias("node"), "a", "b", "votes"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("votes", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     best = settle(best, PER_TASK)
@@ -187,7 +258,12 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sh
     rest = left.join(best, ["a", "b"], "left_anti").join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
     rest = settle(rest.where("not (ca <=> cb) or ca is null").select("a", "b"), PER_TASK)
     # what is linked so far goes on as stars, so the last round starts from short paths
-    links = of.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(settle(confirmed(rest, texts, shingle, percent), PER_TASK))
+    stars = lambda x: x.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    links = stars(of).unionByName(settle(confirmed(rest, texts, shingle, percent), PER_TASK))
+    if not crowded.isEmpty():
+        of = settle(components(links), PER_TASK)
+        open_ = settle(crowded_pairs(crowded, texts, of, shingle, percent), PER_TASK)
+        links = stars(of).unionByName(settle(confirmed(open_, texts, shingle, percent), PER_TASK))
     # rows of one id with several sets hold them together, and every document hangs on the smallest of its set
     same = sigs.where("n > 0 and _i is not null").join(reps.select("d1", "d2", F.col("_i").alias("r")), ["d1", "d2"])
     member = settle(same.select(F.col("_i").alias("a"), F.col("r").alias("b")).distinct(), PER_TASK)

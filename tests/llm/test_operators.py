@@ -335,6 +335,39 @@ def test_near_dups_in_a_large_group(spark):
     assert all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] for r in rows(near_dups.classes(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(5))))
 
 
+def test_near_dups_hidden_in_a_template_group(spark):
+    import random
+
+    r = random.Random(11)
+    template = [f"w{r.randint(0, 9000)}" for _ in range(160)]
+
+    def variant(i, of, n):  # n replaced words side by side change n + 3 shingles
+        w, at = list(of), r.randrange(160 - n)
+        w[at : at + n] = [f"x{i}_{k}" for k in range(n)]
+        return w
+
+    texts = [variant(i, template, 16) for i in range(1200)]
+    texts += [variant(5000 + i, texts[i], 10) for i in range(60)]
+    r.shuffle(texts)
+    data = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    sets = [{tuple(t[k : k + 4]) for k in range(len(t) - 3)} for t in texts]
+    ids = {g: k for k, g in enumerate(set().union(*sets))}
+    grid = np.zeros((len(sets), len(ids)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        grid[i, [ids[g] for g in s]] = 1
+    common, size = grid @ grid.T, grid.sum(axis=1)
+    close = 5 * common >= 4 * (size[:, None] + size[None, :] - common)
+    top = list(range(len(sets)))
+    for _ in range(len(sets)):
+        now = [min(top[j] for j in np.flatnonzero(close[i])) for i in range(len(sets))]
+        if now == top:
+            break
+        top = now
+    assert 50 < sum(i != c for i, c in enumerate(top)) < 600
+    got = {x["doc_id"]: x["component_id"] for x in rows(near_dups.classes(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)))}
+    assert got == dict(enumerate(top))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 120)] + [(500, 300), (300, 400), (7, 7), (900, 900)]
     got = {r["node"]: r["component"] for r in rows(components(spark.createDataFrame(edges, "a long, b long")))}
