@@ -45,7 +45,7 @@ def units(text: str, min_line_words: int, min_sentence_words: int) -> list[tuple
 
 
 def digest_table(df: DataFrame, id_col: str, text_col: str, min_line_words: int, min_sentence_words: int) -> DataFrame:
-    """One row per document and distinct digest of its units: _i, h1, h2."""
+    """One row per row and distinct digest of its units: _i, h1, h2; rows that share an id can repeat some."""
     kind = dict(df.dtypes)[id_col]
 
     def cut(batches):
@@ -64,7 +64,8 @@ def digest_table(df: DataFrame, id_col: str, text_col: str, min_line_words: int,
 def repeats(df: DataFrame, id_col: str, text_col: str, *limits: int) -> DataFrame:
     """Digests that a document shares with one of a smaller id: _i, h1, h2.
 
-    One shuffle of digests, ranked by id within each.  So that a digest of very many documents isn't
+    One shuffle of digests, ranked by id within each; rows that share an id share the rank, so the smallest
+    id keeps its units in all of them.  So that a digest of very many documents isn't
     one task's work, digests that are frequent among some documents (drawn by hash; which ones are
     drawn changes no result) are ranked in parts first, and only the first of each part goes on.
     """
@@ -76,11 +77,11 @@ def repeats(df: DataFrame, id_col: str, text_col: str, *limits: int) -> DataFram
     common = hot.orderBy(F.desc("count"), "h1", "h2").limit(SAMPLE).select("h1", "h2").collect()
     order = lambda *by: Window.partitionBy("h1", "h2", *by).orderBy("_i")
     if not common:
-        return found.withColumn("_n", F.row_number().over(order())).where("_n > 1").select("_i", "h1", "h2")
+        return found.withColumn("_n", F.dense_rank().over(order())).where("_n > 1").select("_i", "h1", "h2")
     few = F.broadcast(df.sparkSession.createDataFrame(common, "h1 long, h2 long").withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_i"), F.lit(SALTS)).cast("int")).otherwise(-1)
-    ranked = found.join(few, ["h1", "h2"], "left").withColumn("_part", salt).withColumn("_n", F.row_number().over(order("_part")))
-    firsts = ranked.where("_n = 1 and _part >= 0").withColumn("_n", F.row_number().over(order())).where("_n > 1")
+    ranked = found.join(few, ["h1", "h2"], "left").withColumn("_part", salt).withColumn("_n", F.dense_rank().over(order("_part")))
+    firsts = ranked.where("_n = 1 and _part >= 0").withColumn("_n", F.dense_rank().over(order())).where("_n > 1")
     return ranked.where("_n > 1").select("_i", "h1", "h2").unionByName(firsts.select("_i", "h1", "h2"))
 
 
@@ -91,7 +92,7 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
     A removed line goes with its line break.  Units shorter than the limits always stay.  Null texts
     stay null, empty ones empty; a row with a null id loses only what it repeats itself; rows that
-    share an id count as one document.  Ids order documents, offsets order units within one.
+    share an id count as one document, and each loses what a smaller id has or it repeats itself.  Ids order documents, offsets order units within one.
     """
     keep = [c for c in carry if c not in (id_col, text_col)]
     limits = (min_line_words, min_sentence_words)

@@ -133,6 +133,16 @@ def test_dedup_with_hot_digests(spark, monkeypatch):
     assert line in out[0] and not any(line in out[i] for i in range(1, 300))
 
 
+@pytest.mark.parametrize("sample", [20_000, 500])  # the smaller one makes the line's digest a hot one
+def test_dedup_keeps_repeated_rows_of_one_id(spark, monkeypatch, sample):
+    monkeypatch.setattr(unit_dedup, "SAMPLE", sample)
+    line = "a line that is long enough to be a unit"
+    data = [(0, line), (0, line), *((i, f"{line}\nand a line of its own number {i} here") for i in range(1, 100))]
+    got = rows(unit_dedup.deduplicate(spark.createDataFrame(data, "doc_id long, text string").repartition(3)))
+    assert [r["text"] for r in got if r["doc_id"] == 0] == [line, line]
+    assert len(got) == 101 and not any(line in r["text"] for r in got if r["doc_id"])
+
+
 # 4 ------------------------------------------------------------------------------------------------
 
 

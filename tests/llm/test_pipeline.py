@@ -34,6 +34,15 @@ def test_stages_work_on_what_the_one_before_kept(spark, docs, documents, tmp_pat
     assert all(pieces[r["doc_id"]] == r["doc_tokens"] * copies[r["doc_id"]] for r in seen["window_packing"])
 
 
+def test_repeated_rows_stay_through_both_dedup_stages(spark):
+    text = "a clean document whose only line is long enough"
+    data = [(7, text, "en", "s", 47), (7, text, "en", "s", 47), (9, text + "\n" + "another line of words that only this one has and that goes on", "en", "s", 0)]
+    now = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (corpus_pipeline.near_dedup, corpus_pipeline.substring_dedup):
+        now = stage(spark, now, "")
+    assert [r["text"] for r in now.collect() if r["doc_id"] == 7] == [text, text]
+
+
 def test_run_gives_the_last_stage(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
