@@ -221,7 +221,7 @@ def tx17_html_text(spark, sf_dir):
 def ch6_sequence_ratio(spark, sf_dir):
     c = A.tables(spark, sf_dir, "conversations")["conversations"]
     w = Window.partitionBy("conv_id").orderBy("turn")
-    return c.withColumn("was", F.lag("text").over(w)).where("was is not null").select("conv_id", "turn", F.round(sequence_ratio(F.substring("was", 1, 400), F.substring("text", 1, 400)), 6).alias("ratio"))
+    return c.withColumn("was", F.lag("text").over(w)).where("was is not null").select("conv_id", "turn", F.round(sequence_ratio("was", "text"), 6).alias("ratio"))
 
 
 @query("WITH c AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'topline on Nov 3, 2025' WHEN 1 THEN 'expected Q' || CAST(1 + c_custkey % 4 AS VARCHAR) || ' 2025' WHEN 2 THEN 'in H' || CAST(1 + c_custkey % 2 AS VARCHAR) || ' 2026' WHEN 3 THEN 'results at ESMO 2025' ELSE 'no date' END AS t FROM customer) SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN DATE '2025-11-02' WHEN 1 THEN make_date(2025, CAST(1 + 3 * (c_custkey % 4) AS INT), 1) WHEN 2 THEN make_date(2026, CAST(1 + 6 * (c_custkey % 2) AS INT), 1) WHEN 3 THEN DATE '2025-01-01' END AS window_start, CASE c_custkey % 5 WHEN 0 THEN DATE '2025-11-05' WHEN 1 THEN last_day(make_date(2025, CAST(3 + 3 * (c_custkey % 4) AS INT), 1)) WHEN 2 THEN last_day(make_date(2026, CAST(6 + 6 * (c_custkey % 2) AS INT), 1)) WHEN 3 THEN DATE '2025-12-31' END AS window_end FROM c")

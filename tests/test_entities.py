@@ -10,6 +10,7 @@ from lodestar.functions import text as T
 from lodestar.functions.udfs import html_sections, html_text, jaro_winkler_text
 from lodestar.operators import extract, monitor, quality, resolve
 from lodestar.operators import tables as ops
+from lodestar.plans import registry
 from lodestar.sources import readers
 
 
@@ -161,3 +162,15 @@ def test_html(spark):
     page = "<html><style>x</style><body><h1>Item 1</h1><p>Hello <b>there</b></p><script>no</script><h2>Item 2</h2>More&amp;more</body></html>"
     assert one(spark, page, html_text) == "Item 1\nHello there\nItem 2\nMore&more"
     assert [(s.level, s.title, s.body) for s in one(spark, page, html_sections)] == [("h1", "Item 1", "Hello there"), ("h2", "Item 2", "More&more")]
+
+
+def test_sequence_ratio_of_whole_texts(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    same = " ".join(f"w{k}" for k in range(120))
+    turns = [(1, 0, same + " one end"), (1, 1, same + " and quite another end " * 9), (1, 2, "short"), (2, 0, same), (2, 1, same + "x" * 900)]
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {(r["conv_id"], r["turn"]): r["ratio"] for r in registry.queries()["ch6_sequence_ratio"](spark, str(tmp_path)).collect()}
+    texts = {(c, n): t for c, n, t in turns}
+    want = {(c, n): round(SequenceMatcher(None, texts[c, n - 1], t).ratio(), 6) for (c, n), t in texts.items() if n}
+    assert len(same) > 400 and got == pytest.approx(want, abs=1e-6) and got[2, 1] < 1
