@@ -18,8 +18,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates, the document with the smallest id stays."""
-    gone = near_dups.classes(docs).where("not kept").select("doc_id").distinct()
+    """Of each class of near-duplicates, the document with the smallest id stays; shingles are of five words."""
+    gone = near_dups.classes(docs, shingle=5).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

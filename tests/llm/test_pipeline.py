@@ -43,6 +43,13 @@ def test_repeated_rows_stay_through_both_dedup_stages(spark):
     assert [r["text"] for r in now.collect() if r["doc_id"] == 7] == [text, text]
 
 
+def test_near_dedup_compares_five_words(spark):
+    words = [f"w{k}" for k in range(200)]
+    changed = [f"x{k}" if k % 40 == 20 else w for k, w in enumerate(words)]  # 4-word similarity 0.816, 5-word 0.774
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s", 0) for i, w in enumerate((words, changed))], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {0, 1}
+
+
 def test_run_gives_the_last_stage(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
