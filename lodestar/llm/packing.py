@@ -11,6 +11,7 @@ tasks.  Windows are filled to the last token; only the last one is padded.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -19,11 +20,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import is_small, settle, worker_cache
+from lodestar.llm.common import is_small, settle, text_slices, worker_cache
 
 END = 0
-#: Distinct units that a worker remembers before it starts over: a bound on its memory.
-CACHE_UNITS = 600_000
 #: Weights are whole numbers of this sum or a little more.
 WEIGHT_SUM = 1 << 20
 #: Offsets of (partition, source) pairs are sent to all executors up to so many rows, else joined.
@@ -38,136 +37,74 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(rest)} | {b: chr(b) for b in plain}
 
 
-BYTE_LETTERS = byte_letters()
-TAIL = ".,;:!?"
+#: Fixed value: how byte-level tokenizers cut a text before they merge.
+BYTE_LEVEL_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
-    """Ids of texts, as the tokenizer gives them.
+    """Ids of texts, as the file's tokenizer gives them.
 
-    A byte-level tokenizer cuts before every blank that stands between two other characters, so a text
-    is split there and each distinct unit is encoded once; new units are encoded as one long text and
-    told apart by the bytes that their tokens stand for.  Texts in which a blank touches other white
-    space or an end are encoded whole.
+    A byte-level vocabulary whose ids follow the order of its merges is run by a faster engine, built from
+    the same file; any other goes through the tokenizer itself.  Nothing is remembered between texts.  A
+    special token's letters in a text are plain text if special_as_text (what a text says can't then end
+    a document), else that token, as in a plain call.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.model = self.tokenizer.model
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-        for token, i in vocabulary.items():  # a byte-level token has a character for each byte
-            self.bytes_of[i] = len(token)
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.starts, self.ends = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
-        self.used = 0
-
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def keep(self, units: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        """Remember units, whose ids follow each other and end at `ends`."""
-        first, n = len(self.rows), len(units)
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while first + n > len(self.starts):
-            self.starts, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.ends))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.ends[first : first + n] = ends + self.used
-        self.starts[first : first + n] = np.concatenate([[0], ends[:-1]]) + self.used
-        self.rows.update(zip(units, range(first, first + n), strict=True))
-        self.used += len(ids)
-
-    def word(self, unit: str) -> list[int] | None:
-        """Ids of a blank, letters and punctuation, which are cut into two runs at most: the model alone."""
-        core = unit.rstrip(TAIL)
-        if not core.isalpha():
-            return None
-        text = BYTE_LETTERS[32] + core if core.isascii() else (" " + core).encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
-        ids = [t.id for t in self.model.tokenize(text)]
-        return ids if len(core) == len(unit) else ids + [t.id for t in self.model.tokenize(unit[len(core) :])]
-
-    def learn(self, units: set[str]) -> None:
-        """Encode units: one that begins a text has a blank before it here, all others have it in the text.
-        Units that can't be told from their neighbours get no ids."""
-        hard = [u for u in units if not u or u == " " or u[-1].isspace() or (u[0] != " " and u[0].isspace())]
-        units.difference_update(hard)
-        self.keep(hard, np.zeros(0, dtype=np.uint32), np.zeros(len(hard), dtype=np.int64))
-        heads = [u for u in units if u[0] == " "]
-        units.difference_update(heads)
-        if heads:
-            ids = self.whole([u[1:] for u in heads])
-            self.keep(heads, np.concatenate(ids), np.cumsum([len(x) for x in ids]))
-        words = [(u, ids) for u in units if (ids := self.word(u)) is not None]
-        if words:
-            self.keep([u for u, _ in words], np.array([i for _, ids in words for i in ids], dtype=np.uint32), np.cumsum([len(ids) for _, ids in words]))
-        rest = list(units.difference(u for u, _ in words))
-        for at in range(0, len(rest), 20_000):
-            some = rest[at : at + 20_000]
-            ids = self.whole([" " + " ".join(some)])[0]
-            reach = np.cumsum(self.bytes_of[ids])
-            goal = np.cumsum([len(u.encode("utf-8")) + 1 for u in some])
-            ends = np.searchsorted(reach, goal) + 1
-            if not np.array_equal(reach[ends - 1], goal):
-                raise ValueError("the tokenizer doesn't cut before blanks")
-            self.keep(some, ids, ends)
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.size = self.tokenizer.get_vocab_size()
+        self.fast = fast_engine(self.tokenizer)
+        self.special = not special_as_text
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, and END."""
-        if len(self.rows) > CACHE_UNITS:
-            self.clear()
-        flat: list[str] = []
-        counts = []
-        for t in texts:
-            parts = t.split(" ")
-            parts[0] = " " + parts[0]
-            flat += parts
-            counts.append(len(parts))
-        self.learn(set(flat).difference(self.rows))
-        unit = np.fromiter(map(self.rows.__getitem__, flat), dtype=np.int64, count=len(flat))
-        starts, size = self.starts[unit], self.ends[unit] - self.starts[unit]
-        reach = np.cumsum(size)
-        ids = self.ids[np.repeat(starts - (reach - size), size) + np.arange(reach[-1] if len(reach) else 0)]
-        last = np.cumsum(counts)
-        whole = np.minimum.reduceat(size, last - counts) == 0 if len(counts) else np.zeros(0, dtype=bool)
-        stop = reach[last - 1] if len(counts) else reach
-        begin = np.concatenate([[0], stop[:-1]]) if len(counts) else stop
-        instead = iter(self.whole([t for t, w in zip(texts, whole, strict=True) if w]))
-        end = np.array([END], dtype=np.uint32)
-        return [np.concatenate([next(instead) if w else ids[i:j], end]) for w, i, j in zip(whole, begin, stop, strict=True)]
-
-
-def encoded(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+        if self.fast is None:
+            ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        elif self.special:
+            ids = [self.fast.encode(t, allowed_special="all") for t in texts]
+        else:
+            ids = map(self.fast.encode_ordinary, texts)
+        return [np.array([*x, END], dtype=np.uint32) for x in ids]
+
+
+def fast_engine(tokenizer):
+    """The tokenizer's twin for byte-level vocabularies, or None if the file says anything else."""
+    import tiktoken
+
+    file = json.loads(tokenizer.to_str())
+    model, cut = file["model"], file.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or file.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        return None
+    byte_of = {c: b for b, c in byte_letters().items()}
+    special = {a["content"]: a["id"] for a in file["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    merged = [ranks[bytes(byte_of[c] for c in "".join(m if isinstance(m, list) else m.split(" ")))] for m in model["merges"]]
+    if merged != sorted(merged) or len(merged) + 256 != len(ranks):
+        return None
+    return tiktoken.Encoding("twin", pat_str=BYTE_LEVEL_CUTS, mergeable_ranks=ranks, special_tokens=special)
+
+
+def encoded(df: DataFrame, tokenizer_path: str, id_col: str, text_col: str, source_col: str, special_as_text: bool) -> DataFrame:
     """id, source, part, start (in the part's queue of the source), n, ids (little-endian, 4 bytes each, or 2
     where all ids fit)."""
     types = dict(df.dtypes)
 
     def run(batches):
-        cache, part, queue = worker_cache("packing"), TaskContext.get().partitionId(), {}
-        encoder = cache.get(("encoder", tokenizer_path)) or cache.setdefault(("encoder", tokenizer_path), Encoder(tokenizer_path))
-        width = np.dtype("<u2") if encoder.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        cache, part, queue, key = worker_cache("packing"), TaskContext.get().partitionId(), {}, (tokenizer_path, special_as_text)
+        encoder = cache.get(key) or cache.setdefault(key, Encoder(*key))
+        width = np.dtype("<u2") if encoder.size <= 1 << 16 else np.dtype("<u4")
         for b in batches:
-            texts, sources = [t or "" for t in b.column(1).to_pylist()], b.column(2).to_pylist()
-            at = 0
-            while at < len(texts):  # some MB at a time
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) < 4 << 20):
-                    size += len(texts[to])
-                    to += 1
-                ids = encoder.encode(texts[at:to])
+            for at, to in text_slices(b.column(1)):
+                ids = encoder.encode([t or "" for t in b.column(1).slice(at, to - at).to_pylist()])
                 starts = []
-                for s, x in zip(sources[at:to], ids, strict=True):
+                for s, x in zip(b.column(2).slice(at, to - at).to_pylist(), ids, strict=True):
                     starts.append(queue.get(s, 0))
                     queue[s] = starts[-1] + len(x)
                 yield pa.RecordBatch.from_arrays([b.column(0)[at:to], b.column(2)[at:to], pa.array([part] * (to - at), pa.int32()), pa.array(starts, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(width).tobytes() for x in ids], pa.binary())], names=["_id", "_src", "_part", "_start", "_n", "_ids"])
-                at = to
 
     return df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.col(source_col).alias("_src")).mapInArrow(run, f"_id {types[id_col]}, _src {types[source_col]}, _part int, _start long, _n long, _ids binary")
 
@@ -218,9 +155,10 @@ def cut_pieces(start: np.ndarray, n: np.ndarray, source: np.ndarray, weights: li
     return doc[head], begin[head] - start[doc[head]], np.add.reduceat(length, head) if len(head) else length, place[head]
 
 
-def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, window: int = 1024, quantum: int = 128, targets: dict | None = None, with_ids: bool = False) -> DataFrame:
+def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, window: int = 1024, quantum: int = 128, targets: dict | None = None, with_ids: bool = False, special_as_text: bool = True) -> DataFrame:
     """Pack all documents into windows; returns one row per piece: id_col, start, length, ids_crc32,
-    doc_tokens, sequence_id, offset, source_col (and ids, if asked for).
+    doc_tokens, sequence_id, offset, source_col (and ids, if asked for).  The letters of a special token in a
+    text are plain text, as the tokenizers' guide sets it; special_as_text=False takes them for the token.
 
     A document's ids are its text's and one END.  Without targets (source -> weight) the sources' own
     token shares are the target, so that the mixture is the same from first to last window.  Where
@@ -234,7 +172,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
     if window % quantum:
         raise ValueError("a window must be a whole number of quanta")
     spark, types = df.sparkSession, dict(df.dtypes)
-    ids = settle(encoded(df, tokenizer_path, id_col, text_col, source_col))
+    ids = settle(encoded(df, tokenizer_path, id_col, text_col, source_col, special_as_text))
     parts = ids.groupBy("_part", "_src").agg(F.sum("_n").alias("_t"))
     parts = settle(parts.withColumn("_base", F.sum("_t").over(Window.partitionBy("_src").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_t")))
     queues = sorted(((r["_src"], r["t"]) for r in parts.groupBy("_src").agg(F.sum("_t").alias("t")).collect()), key=lambda x: (x[0] is not None, str(x[0])))
