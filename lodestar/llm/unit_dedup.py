@@ -2,8 +2,10 @@
 
 Units are lines, and the sentences of a line.  A unit is normalised (lower case, white space runs made
 one blank) and digested; digests are grouped over the corpus; the occurrence with the smallest
-(document, offset) stays and the others go.  A line that isn't a repeat as a whole can still lose
-sentences that are.  Spans are kept as offsets in the original text.
+(document, offset) stays and the others are repeats.  A line that isn't a repeat as a whole can still
+hold sentences that are.  Repeats that touch are one passage, and a passage goes if it is long enough,
+so that a common heading or a short stock sentence alone costs no document anything.  Spans are kept
+as offsets in the original text.
 """
 
 from __future__ import annotations
@@ -18,8 +20,10 @@ from pyspark.sql import functions as F
 
 SENTENCE_END = re.compile(r"[.!?]\s+")
 
-#: A digest that more than 1 / HOT of the sampled documents hold is dealt out in SALTS parts.
-HOT, SALTS, SAMPLE = 500, 64, 20_000
+#: A digest that more than 1 / HOT of the sampled documents hold is dealt out in parts.
+HOT, SAMPLE = 500, 20_000
+#: Rows of such a digest that a part should hold, about.
+PART_ROWS = 50_000
 
 
 def units(text: str, min_line_words: int, min_sentence_words: int) -> list[tuple[int, int, int, int, int]]:
@@ -70,7 +74,8 @@ def repeats(df: DataFrame, id_col: str, text_col: str, *limits: int) -> DataFram
     drawn changes no result) are ranked in parts first, and only the first of each part goes on.
     """
     found = digest_table(df, id_col, text_col, *limits)
-    rate = max(1, df.count() // SAMPLE)
+    count = df.count()
+    rate, salts = max(1, count // SAMPLE), max(16, count // PART_ROWS)
     drawn = df.where(F.pmod(F.xxhash64(id_col), F.lit(rate)) == 0)
     least = max(50, SAMPLE // HOT)
     hot = digest_table(drawn, id_col, text_col, *limits).groupBy("h1", "h2").count().where(F.col("count") >= least)
@@ -79,22 +84,28 @@ def repeats(df: DataFrame, id_col: str, text_col: str, *limits: int) -> DataFram
     if not common:
         return found.withColumn("_n", F.dense_rank().over(order())).where("_n > 1").select("_i", "h1", "h2")
     few = F.broadcast(df.sparkSession.createDataFrame(common, "h1 long, h2 long").withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_i"), F.lit(SALTS)).cast("int")).otherwise(-1)
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_i"), F.lit(salts)).cast("int")).otherwise(-1)
     ranked = found.join(few, ["h1", "h2"], "left").withColumn("_part", salt).withColumn("_n", F.dense_rank().over(order("_part")))
     firsts = ranked.where("_n = 1 and _part >= 0").withColumn("_n", F.dense_rank().over(order())).where("_n > 1")
     return ranked.where("_n > 1").select("_i", "h1", "h2").unionByName(firsts.select("_i", "h1", "h2"))
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_line_words: int = 5, min_sentence_words: int = 8, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Remove repeated lines and sentences; returns id_col, text_col (what stays), n_removed (spans),
-    removed_chars, removed (array of start, end: 0-based code points of the original, end excluded) and
-    the columns named in carry.
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_run_words: int = 25, min_line_words: int = 1, min_sentence_words: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Remove repeated passages; returns id_col, text_col (what stays), n_removed (spans), removed_chars,
+    removed (array of start, end: 0-based code points of the original, end excluded) and the columns
+    named in carry.
 
-    A removed line goes with its line break.  Units shorter than the limits always stay.  Null texts
-    stay null, empty ones empty; a row with a null id loses only what it repeats itself; rows that
-    share an id count as one document, and each loses what a smaller id has or it repeats itself.  Ids order documents, offsets order units within one.
+    A passage is a run of repeated lines and sentences with nothing but white space between, of
+    min_run_words words or more; the earliest occurrence of every unit stays.  A removed line goes
+    with its line break.  Units shorter than min_line_words or min_sentence_words are never repeats.
+    Null texts stay null, empty ones empty; a row with a null id loses only what it repeats itself; rows that
+    share an id count as one document, and each loses what a smaller id has or it repeats itself, so of rows
+    that are alike every one keeps what no smaller id has.  Ids order documents, offsets order units
+    within one.  Columns in carry that are named like an output raise ValueError.
     """
     keep = [c for c in carry if c not in (id_col, text_col)]
+    if taken := {"n_removed", "removed_chars", "removed"}.intersection(keep):
+        raise ValueError(f"columns named like an output: {sorted(taken)}")
     limits = (min_line_words, min_sentence_words)
     gone = repeats(df.select(id_col, text_col), id_col, text_col, *limits).groupBy("_i").agg(F.collect_set(F.struct("h1", "h2")).alias("_s"))
     types = dict(df.dtypes)
@@ -111,7 +122,7 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
             for i, t in enumerate(texts):
                 s = sets[i]
                 known = set() if not s.is_valid else {(r["h1"] % (1 << 64)) | (r["h2"] % (1 << 64)) << 64 for r in s.as_py()}
-                spans = merged(t, units(t, *limits), known) if t else []
+                spans = merged(t, units(t, *limits), known, min_run_words) if t else []
                 out.append(without(t, spans) if spans else t)
                 removed.append(spans)
             n = [len(r) for r in removed]
@@ -121,10 +132,10 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     return joined.mapInArrow(strip, schema)
 
 
-def merged(text: str, found: list[tuple[int, int, int, int, int]], known: set[int]) -> list[tuple[int, int]]:
-    """Spans to cut, touching ones made one: units whose digest an earlier document has or that the text
-    itself had before.  Lines go with their break; sentences of lines that went are gone with them."""
-    out: list[tuple[int, int]] = []
+def merged(text: str, found: list[tuple[int, int, int, int, int]], known: set[int], min_run_words: int) -> list[tuple[int, int]]:
+    """Spans to cut: runs of units whose digest an earlier document has or that the text itself had before.
+    Lines go with their break; sentences of lines that went are gone with them."""
+    runs: list[tuple[int, int]] = []
     met, line_gone = set(known), -1
     for start, end, line, kind, digest in found:
         if digest not in met:
@@ -135,11 +146,11 @@ def merged(text: str, found: list[tuple[int, int, int, int, int]], known: set[in
             end += end < len(text)
         elif line == line_gone:
             continue
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        if runs and not text[runs[-1][1] : start].strip():
+            runs[-1] = (runs[-1][0], max(end, runs[-1][1]))
         else:
-            out.append((start, end))
-    return out
+            runs.append((start, end))
+    return [(s, e) for s, e in runs if len(text[s:e].split()) >= min_run_words]
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
