@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import settle, worker_cache
+from lodestar.llm.common import settle, text_slices, word_hashes
 from lodestar.llm.components import components
 
 #: Hashes that neighbours must share, and hashes that a tree sorts by.
@@ -31,7 +31,6 @@ REACH = 4
 #: Crowded documents whose shingles are counted for the order of the prefix filter, and shingles that
 #: count as common; both only steer the work.
 SAMPLE, COMMON = 20_000, 200_000
-CACHE_WORDS = 300_000
 #: Pairs or links that a task takes on, at least.
 PER_TASK = 20_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -43,19 +42,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(text: str, size: int, known: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles; of fewer words, of the whole sequence."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+def shingle_sets(texts: pa.Array, size: int):
+    """For each text the sorted distinct 64-bit hashes of its shingles; of fewer words, of the whole sequence."""
+    for lo, hi in text_slices(texts):
+        h, ends = word_hashes(texts.slice(lo, hi - lo))
+        x = rolled(h, size)
+        for at, to in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            own = np.sort(x[at : to - size + 1] if to - at >= size else rolled(h[at:to], to - at))
+            yield own[np.append(True, own[1:] != own[:-1])] if len(own) else own
+
+
+def rolled(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of `size` words."""
+    if not size or len(h) < size:
         return np.zeros(0, dtype=np.uint64)
-    for w in set(words).difference(known):
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = min(size, len(h))
-    x = np.full(len(h) - n + 1, n, dtype=np.uint64)
-    for k in range(n):
-        x = x * MULTIPLIER + h[k : len(h) - n + 1 + k]
-    return np.unique(mixed(x))
+    x = np.full(len(h) - size + 1, size, dtype=np.uint64)
+    for k in range(size):
+        x = x * MULTIPLIER + h[k : len(h) - size + 1 + k]
+    return mixed(x)
 
 
 def coefficients(trees: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,13 +74,9 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, trees: i
     mul, add = coefficients(trees, seed)
 
     def run(batches):
-        known = worker_cache("near_dups").setdefault("shingle words", {})
         for b in batches:
             n, d1, d2, sig = [], [], [], []
-            for t in b.column(1).to_pylist():
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                x = shingle_hashes(t or "", shingle, known)
+            for x in shingle_sets(b.column(1), shingle):
                 d = xxhash.xxh3_128_digest(x.tobytes())
                 n.append(len(x))
                 d1.append(int.from_bytes(d[:8], "little", signed=True))
@@ -159,13 +159,9 @@ def shingle_rows(texts: DataFrame, shingle: int, percent: int | None, common: np
     sent = texts.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
 
     def run(batches):
-        known = worker_cache("near_dups").setdefault("shingle words", {})
         hashes, rank = sent.value
         for b in batches:
-            for i, t in enumerate(b.column(1).to_pylist()):
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                x = shingle_hashes(t or "", shingle, known)
+            for i, x in enumerate(shingle_sets(b.column(1), shingle)):
                 if not len(x):
                     continue
                 n = len(x)
@@ -210,16 +206,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     both = one.join(texts.select(F.col("_i").alias("b"), F.col("_t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
-        known = worker_cache("near_dups").setdefault("shingle words", {})
-        held, of = None, None
         for b in batches:
-            keep = []
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            for k, (i, ta, tb) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
-                if held is None or i != held:
-                    held, of = i, shingle_hashes(tb, shingle, known)
-                x = shingle_hashes(ta, shingle, known)
+            keep, seconds = [], b.column(1).to_pylist()
+            heads = [k for k in range(len(seconds)) if not k or seconds[k] != seconds[k - 1]]  # pairs of one b mostly follow each other
+            others, of, head = shingle_sets(b.column(3).take(pa.array(heads, pa.int64())), shingle), None, set(heads)
+            for k, x in enumerate(shingle_sets(b.column(2), shingle)):
+                of = next(others) if k in head else of
                 common = len(np.intersect1d(x, of, assume_unique=True))
                 if 100 * common >= percent * (len(x) + len(of) - common):
                     keep.append(k)
