@@ -1,6 +1,6 @@
 """Exact top-k search of 64-bit codes by incremental multi-index hashing.
 
-Codes are cut into segments, each an index from segment value to codes.  In ring r, a query looks up
+Codes are cut into segments of about as many bits as the number of codes has, each an index from segment value to codes.  In ring r, a query looks up
 all values that differ from its own in exactly r bits, segment by segment, and what it finds is
 verified by the full distance.  Two codes of distance d agree in some segment up to d // segments
 bits, so after ring r everything nearer than segments * (r + 1) is known, and a query whose k-th
@@ -9,6 +9,7 @@ verified distance is covered by that leaves the search.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,40 +27,53 @@ def sign_code(vector: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
-def segment(code: Column, k: Column, width: int) -> Column:
-    """Segment k of a code, as a whole number from 0."""
-    return F.call_function("shiftrightunsigned", code, (k * width).cast("int")).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+def cuts(count: int) -> list[tuple[int, int]]:
+    """First bit and width of each segment: about log2(count) bits, so that a value has about one code."""
+    n = min(8, max(2, round(BITS / max(8, math.log2(max(2, count))))))
+    edges = [BITS * k // n for k in range(n + 1)]
+    return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def segments_of(code: Column, parts: list[tuple[int, int]]) -> Column:
+    """seg, value of all segments of a code, as an array."""
+    value = lambda a, w: F.call_function("shiftrightunsigned", code, F.lit(a)).bitwiseAND(F.lit((1 << w) - 1).cast("long"))
+    return F.array(*(F.struct(F.lit(i).alias("seg"), value(a, w).alias("value")) for i, (a, w) in enumerate(parts)))
 
 
 def masks(width: int, r: int) -> Column:
     """All numbers of `width` bits, r of them set."""
     text = ",".join(str(sum(1 << b for b in bits)) for bits in combinations(range(width), r))
-    return F.split(F.lit(text), ",").cast("array<bigint>")
+    return F.split(F.lit(text), ",").cast("array<bigint>") if text else F.array().cast("array<bigint>")
 
 
-def top_k(df: DataFrame, id_col: str, code_col: str, *, k: int = 10, every: int = 20, segments: int = 4) -> DataFrame:
+def top_k(df: DataFrame, id_col: str, code_col: str, *, k: int = 10, every: int = 20, tasks: int = 4_000) -> DataFrame:
     """The k nearest other rows of every row whose id is divisible by `every`; returns query_id, rank
     (from 1), neighbor_id, distance.  Order: distance, then id.
 
     Works on distinct codes: of the copies of one code only the k + 1 smallest ids matter, which are
     ranked before the shuffle.  Rows without id or code are left out; with fewer than k other rows all
-    are returned; rows that share id and code are one.  Segments should have about log2(codes) bits.
+    are returned; rows that share id and code are one.  Ids are whole numbers (else ValueError).  A task
+    probes for `tasks` queries, about.
     """
-    width = BITS // segments
+    if dict(df.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"{id_col} must hold whole numbers")
     rows = df.select(F.col(id_col).alias("id"), F.col(code_col).cast("long").alias("code")).where("id is not null and code is not null").distinct()
     need = k + 1  # the query itself is among what is found
     first = Window.partitionBy("code").orderBy("id")
     codes = settle(rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= need).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")))
     light = codes.select("code", F.size("ids").alias("n"), F.col("ids")[0].alias("least"))
-    numbers = F.array(*(F.lit(i) for i in range(segments)))
-    index = light.select("code", "n", "least", F.explode(numbers).alias("seg")).withColumn("value", segment(F.col("code"), F.col("seg"), width))
+    parts = cuts(light.count())
+    segments, width = len(parts), max(w for _, w in parts)
+    index = light.select("code", "n", "least", F.explode(segments_of(F.col("code"), parts)).alias("x")).select("code", "n", "least", "x.seg", "x.value")
     queries = rows.where(F.col("id") % every == 0)
     active = settle(queries.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(BITS)))
     best = found = None
     nearest = Window.partitionBy("q").orderBy("distance", "least", "code")
     for r in range(width + 1):
-        probes = active.select("q", "bound", F.explode(numbers).alias("seg")).select("q", "bound", "seg", F.explode(masks(width, r)).alias("mask"))
-        probes = probes.select("q", "bound", "seg", segment(F.col("q"), F.col("seg"), width).bitwiseXOR(F.col("mask")).alias("value"))
+        spread = active.repartition(max(8, active.count() // tasks), "q")
+        near = F.element_at(F.array(*(masks(w, r) for _, w in parts)), F.col("x.seg") + 1)
+        probes = spread.select("q", "bound", F.explode(segments_of(F.col("q"), parts)).alias("x")).select("q", "bound", "x.seg", "x.value", F.explode(near).alias("mask"))
+        probes = probes.select("q", "bound", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
         met = probes.join(index, ["seg", "value"]).where(distance <= F.col("bound")).select("q", "code", "n", "least", distance.cast("int").alias("distance"))
         if best is not None:
