@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import id_bucket, worker_cache
+from lodestar.llm.common import WHITE, id_bucket, is_small, settle, worker_cache
 
 LETTER = re.compile(r"[^\W\d_]")
-#: Words that a worker remembers before it starts over: a bound on its memory.
-CACHE_WORDS = 400_000
+#: Bytes that a worker's words may take before it starts over, and those of a word besides its letters.
+CACHE_BYTES, WORD_BYTES = 40 << 20, 250
 
 
 class SuffixAutomaton:
@@ -74,11 +74,12 @@ class Parser:
         self.bits = np.array([math.log2(max(2, len(samples[k]))) for k in self.langs])
         self.rows: dict[str, int] = {}
         self.counts: list[list[int]] = []
+        self.held = 0
 
     def costs(self, texts: list[str]) -> np.ndarray:
         """Bits a character for each text and language; texts without words cost 0."""
-        if len(self.rows) > CACHE_WORDS:
-            self.rows, self.counts = {}, []
+        if self.held > CACHE_BYTES:
+            self.rows, self.counts, self.held = {}, [], 0
         found, ends, chars, rows, counts = [], [], [], self.rows, self.counts
         for text in texts:
             words = text.lower().split()
@@ -86,6 +87,7 @@ class Parser:
                 if (k := rows.get(w)) is None:
                     k = rows[w] = len(counts)
                     counts.append([a.phrases(f" {w} ") for a in self.automata])
+                    self.held += len(w) + WORD_BYTES
                 found.append(k)
             ends.append(len(found))
             chars.append(max(1, sum(map(len, words)) + len(words)))
@@ -97,21 +99,22 @@ class Parser:
         return (total[ends] - total[starts]) * self.bits / np.asarray(chars)[:, None]
 
 
-def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str, train, docs_per_lang: int, chars_per_lang: int) -> dict[str, str]:
-    """A bounded sample of labelled text per language: the documents with the smallest hashes, an
-    equal share of characters from the middle of each.  Ids are ranked first, without texts."""
-    if docs_per_lang < 1 or chars_per_lang < 1:
+def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str, train, docs_per_lang: int, chars_per_doc: int) -> dict[str, str]:
+    """A bounded sample of labelled text per language: of the documents with a text of chars_per_doc at most, those
+    with the smallest hashes, whole.  Ids are ranked first, without texts, and of a language only so
+    many as a count says are needed, so no task ranks a language."""
+    if docs_per_lang < 1 or chars_per_doc < 1:
         raise ValueError("the sample needs a document and a character at least")
     own = df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_l")).where(train & F.col("_l").isNotNull())
-    rank = Window.partitionBy("_l").orderBy("_h", "_i")
-    picked = own.where(F.col("_t").isNotNull()).select("_i", "_l", F.xxhash64("_i").alias("_h")).distinct().withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= docs_per_lang)
-    share = max(1, chars_per_lang // docs_per_lang)
-    chars = F.length("_t")
-    start = F.greatest(F.lit(1), F.floor((chars - share) / 2).cast("int") + 1)
-    rows = own.join(F.broadcast(picked.select("_i", "_l")), ["_i", "_l"]).select("_l", "_i", F.substring("_t", start, F.lit(share)).alias("_s")).distinct().collect()
+    own = own.where((F.length("_t") <= chars_per_doc) & (F.btrim("_t", F.lit(WHITE)) != ""))
+    ids = settle(own.select("_i", "_l", F.xxhash64("_i").alias("_h")))
+    counts = ids.groupBy("_l").count()
+    few = ids.join(F.broadcast(counts) if is_small(counts, 10_000) else counts, "_l").where(F.pmod("_h", F.greatest(F.lit(1), F.expr(f"`count` div {8 * docs_per_lang}"))) == 0)
+    picked = few.distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_l").orderBy("_h", "_i"))).where(F.col("_n") <= docs_per_lang)
+    rows = own.join(F.broadcast(picked.select("_i", "_l")), ["_i", "_l"]).select("_l", "_i", "_t").distinct().collect()
     out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["_l"], r["_i"], r["_s"])):
-        out.setdefault(r["_l"], []).append(" ".join(r["_s"].lower().split()))
+    for r in sorted(rows, key=lambda r: (r["_l"], r["_i"], r["_t"])):
+        out.setdefault(r["_l"], []).append(" ".join(r["_t"].lower().split()))
     return {k: " " + " ".join(v) + " " for k, v in out.items()}
 
 
@@ -136,21 +139,23 @@ def clean_samples(samples: dict[str, str], words: int = 12) -> dict[str, str]:
     return {k: " " + " ".join(kept[k] or [samples[k]]) + " " for k in samples}
 
 
-def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, folds: int = 5, docs_per_lang: int = 240, chars_per_lang: int = 36_000, carry: tuple[str, ...] = ()) -> DataFrame:
+def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, folds: int = 5, docs_per_lang: int = 48, chars_per_doc: int = 1_000, carry: tuple[str, ...] = ()) -> DataFrame:
     """Predict the language of every whole text.
 
     Learns from rows whose crc32(id as text) modulo folds is not 0 and whose label is not null: at
-    most docs_per_lang documents and chars_per_lang characters of each language (a bounded sample,
-    so the automata have a fixed size).  Returns id_col, held_out, lang_pred, score
+    most docs_per_lang documents of each language, whole, of chars_per_doc characters at most (a bounded
+    sample, so the automata have a fixed size).  Returns id_col, held_out, lang_pred, score
     and the columns named in carry.
 
     Null, empty and letterless texts are `und` with score 0, and so is everything where no labelled
     text exists.  Ties go to the language that sorts first; repeated rows each give a row; other
     columns are not read.  score is 1 - cheapest / second cheapest cost (1 with one language).
     """
-    samples = sample_texts(df, id_col, text_col, lang_col, id_bucket("_i", folds) != 0, docs_per_lang, chars_per_lang)
+    samples = sample_texts(df, id_col, text_col, lang_col, id_bucket("_i", folds) != 0, docs_per_lang, chars_per_doc)
     samples = clean_samples({k: v for k, v in samples.items() if v.strip()})
     keep = [c for c in carry if c != id_col]
+    if clash := {"held_out", "lang_pred", "score"}.intersection(keep):
+        raise ValueError(f"columns named like an output: {sorted(clash)}")
     key = ("langid", hash(tuple(sorted(samples.items()))))
 
     def predict(batches):
