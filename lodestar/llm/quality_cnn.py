@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import id_bucket
+from lodestar.llm.common import id_bucket, settle
 
 WIDTH, STRIDE, HALF, GRAM, LAGS, PAD = 8, 4, 128, 6, 40, 256
 #: Bytes that are convolved at once: a bound on memory.
@@ -152,16 +152,16 @@ def train(texts: list[bytes], labels: np.ndarray, *, steps: int = 260, batch: in
     return net
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, folds: int = 5, texts_per_label: int = 700) -> Network:
-    """Fit on at most texts_per_label texts of each label, those with the smallest hashes among the
-    rows whose crc32(id as text) modulo folds is not 0 (the documented bound of the sample).
-    Ids are picked first, without texts; of a longer text, the fit sees the middle 8,000 characters."""
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, folds: int = 5, texts_per_label: int = 700, most_chars: int = 20_000) -> Network:
+    """Fit on whole texts: at most texts_per_label rows of each label (the documented bound of the sample), those
+    with the smallest hashes among the documents that have a text of most_chars at most and whose
+    crc32(id as text) modulo folds is not 0.  Ids are picked first, without texts."""
     own = labels.select(F.col(id_col).alias("_i"), F.col(label_col).cast("int").alias("_y")).where(F.col("_i").isNotNull() & F.col("_y").isin(0, 1) & (id_bucket("_i", folds) != 0)).distinct()
-    picked = [r for y in (0, 1) for r in own.where(F.col("_y") == y).orderBy(F.xxhash64("_i"), "_i").limit(texts_per_label).collect()]
+    texts = df.select(F.col(id_col).alias("_i"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).where(F.length("_t") <= most_chars)
+    there = settle(own.join(texts.select("_i"), "_i", "left_semi"))
+    picked = [r for y in (0, 1) for r in there.where(F.col("_y") == y).orderBy(F.xxhash64("_i"), "_i").limit(texts_per_label).collect()]
     ids = df.sparkSession.createDataFrame(picked, own.schema)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    middle = F.substring(text, F.greatest(F.lit(1), F.floor((F.length(text) - 8000) / 2).cast("int") + 1), F.lit(8000))
-    rows = df.select(F.col(id_col).alias("_i"), middle.alias("_t")).join(F.broadcast(ids), "_i").select("_i", "_y", "_t").collect()
+    rows = texts.join(F.broadcast(ids), "_i").select("_i", "_y", "_t").collect()
     rows.sort(key=lambda r: (r["_i"], r["_y"], r["_t"]))
     return train([r["_t"].encode() for r in rows], np.array([r["_y"] for r in rows], dtype=np.int64))
 
