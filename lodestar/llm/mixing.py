@@ -14,7 +14,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import WORD_BREAK, settle
+from lodestar.llm.common import WORD_BREAK, is_small, settle
+
+#: Blocks of a source at most (beyond that they grow in size), so that they can be ordered in one task.
+MOST_BLOCKS = 65_536
+#: Documents of cut blocks are sent to all executors up to so many rows, else joined.
+SMALL_ROWS = 200_000
 
 
 def word_tokens(text_col: str) -> Column:
@@ -81,14 +86,17 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", token
     named in carry.  Without a budget it is the smallest at which every document is drawn at least
     once.  A source's share differs from its weight by less than a document.
 
-    Counts per source and per block of a source (blocks grow in number, not in size) are all that is
-    ordered; the cut within the last block orders only that block's documents.  A source of any size
+    Counts per source and per block of a source (MOST_BLOCKS at most) are all that is ordered; the cut
+    within the last block orders only that block's documents.  A source of any size
     is thus spread over tasks.  The table of sources reaches the driver.  Null is a source of its
     own; texts without tokens go along with their block; repeated rows are drawn like others, in a
-    defined order only if their ids differ; an empty table gives no rows.
+    defined order only if their ids differ; an empty table gives no rows.  Columns in carry that are
+    named like an output raise ValueError.
     """
     n = word_tokens("text") if tokens is None else tokens
     keep = [c for c in carry if c not in (id_col, source_col)]
+    if clash := {"n_tokens", "epoch", "block", "position"}.intersection(keep):
+        raise ValueError(f"columns named like an output: {sorted(clash)}")
     rows = df.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), n.alias("_n"), *(F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)))
     light = settle(rows.select("_id", "_src", "_n"))  # texts are read and counted once
     rows = rows if keep else light
@@ -105,7 +113,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", token
     for k, (t, _) in stats.items():
         want = max(t, round(weights[k] * whole)) if budget is None and t else round(weights.get(k, 0.0) * whole)
         epochs, rest = divmod(want, t) if t else (1, 0)
-        plan.append((k, t, want, epochs, rest, max(1, t // block_tokens)))
+        plan.append((k, t, want, epochs, rest, min(MOST_BLOCKS, max(1, t // block_tokens))))
     spark = df.sparkSession
     plans = F.broadcast(spark.createDataFrame(plan, f"_src {kinds['src']}, _t long, _want long, _epochs long, _rest long, _blocks long"))
 
@@ -132,7 +140,8 @@ def _realise(rows: DataFrame, full: DataFrame, taken: DataFrame, id_col: str, so
     full = full.withColumnRenamed("_src", "_fs").withColumn("_whole", F.lit(True))
     taken = taken.withColumn("_part", F.lit(True))
     out = rows.join(full, rows["_src"].eqNullSafe(full["_fs"]) & (rows["_b"] == full["_fb"]), "left")
-    out = out.join(F.broadcast(taken), out["_src"].eqNullSafe(taken["_ts"]) & out["_id"].eqNullSafe(taken["_ti"]), "left")
+    taken = F.broadcast(taken) if is_small(taken, SMALL_ROWS) else taken
+    out = out.join(taken, out["_src"].eqNullSafe(taken["_ts"]) & out["_id"].eqNullSafe(taken["_ti"]), "left")
     copies = (F.col("_epochs") + F.when(F.col("_whole") | F.col("_part"), 1).otherwise(0)).cast("int")
     out = out.withColumn("_copies", copies).where("_copies > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).withColumn("_epoch", F.col("_epoch").cast("long"))
     # a place within the epoch: the block's, then the document's; hashes stand for uniform numbers
