@@ -10,11 +10,15 @@ from lodestar.llm import langid, mixing, near_dups, packing, unit_dedup
 from lodestar.llm.common import read, settle
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: By how much, as a share, the second language must cost more.
+LEAST_SCORE = 0.01
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (null, empty or letterless) go; labels stay as they are."""
-    return langid.identify(docs, carry=COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
+    """Documents without a language go: null, empty and letterless texts, and those that two languages
+    explain equally well (score under LEAST_SCORE).  Where a label is missing, the prediction is the label."""
+    found = langid.identify(docs, carry=COLUMNS).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +28,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines and sentences go, and documents of which nothing but white space is left."""
+    """Repeated passages go, and documents of which nothing but white space is left."""
     out = unit_dedup.deduplicate(docs, carry=("lang", "source"))
     left = (F.col("n_removed") == 0) | (F.btrim("text", F.lit(" \t\n\x0b\f\r")) != "")
     return out.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
@@ -46,6 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each written to the checkpoint folder before the next; a row per
+    packed piece.  Rows with a null id are in no class of near-duplicates and stay; rows that share an
+    id are filtered alike; an empty table gives no rows; columns besides COLUMNS are left behind."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
