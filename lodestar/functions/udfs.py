@@ -56,15 +56,15 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, s or "", t or "").ratio() for s, t in zip(a, b, strict=True)], dtype="float64")
 
 
-def regex_spans(pattern: str, flags: int = 0):
-    """A UDF: text -> array of (value, start, end), 0-based, end excluded."""
+def regex_spans(*patterns: str):
+    """A UDF: text -> array of (value, start, end), 0-based, end excluded, of every pattern on its own."""
     import re
 
-    compiled = re.compile(pattern, flags)
+    compiled = [re.compile(p) for p in patterns]
 
     @F.pandas_udf(SPANS)
     def spans(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"value": m.group(), "start": m.start(), "end": m.end()} for m in compiled.finditer(t or "")] for t in text])
+        return pd.Series([[{"value": m.group(), "start": m.start(), "end": m.end()} for c in compiled for m in c.finditer(t or "")] for t in text])
 
     return spans
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.durable import kept
+
 # The base window, slip clamps, decay of old hints, scales of certainty, ranking weights.
 BASE_DAYS, BASE_WEIGHT, HINT_AGE = (14, 28), 0.4, 30
 SHIFT, WIDEN = (-30, 75), 14
@@ -32,16 +34,20 @@ def fuse(windows: Column) -> Column:
     """One window from an array of (start, end, weight), the two heaviest: what they share, else all that
     they span.  Of equal weights the one that comes first in the array."""
     numbered = F.transform(windows, lambda w, i: F.struct((-w["weight"]).alias("k"), i.alias("i"), w["start"].alias("start"), w["end"].alias("end"), w["weight"].alias("weight")))
-    order = F.array_sort(numbered)
-    a, b = F.get(order, F.lit(0)), F.get(order, F.lit(1))
-    one = F.size(order) == 1
-    start, end = F.greatest(a["start"], b["start"]), F.least(a["end"], b["end"])
-    meets = one | (start <= end)
-    s = F.when(meets, start).otherwise(F.least(a["start"], b["start"]))
-    e = F.when(meets, end).otherwise(F.greatest(a["end"], b["end"]))
-    scale = F.when(meets, CERTAINTY_DAYS["overlap"]).otherwise(CERTAINTY_DAYS["apart"])
-    certainty = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.datediff(e, s) / scale * (1 - a["weight"])))
-    return F.struct(s.alias("window_start"), e.alias("window_end"), certainty.alias("certainty"))
+
+    def of(pair: Column) -> Column:
+        a, b = F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
+        one = F.size(pair) == 1
+        start, end = F.greatest(a["start"], b["start"]), F.least(a["end"], b["end"])
+        meets = one | (start <= end)
+        s = F.when(meets, start).otherwise(F.least(a["start"], b["start"]))
+        e = F.when(meets, end).otherwise(F.greatest(a["end"], b["end"]))
+        scale = F.when(meets, CERTAINTY_DAYS["overlap"]).otherwise(CERTAINTY_DAYS["apart"])
+        certainty = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.datediff(e, s) / scale * (1 - a["weight"])))
+        return F.struct(s.alias("window_start"), e.alias("window_end"), certainty.alias("certainty"))
+
+    # bound to a name by a transform over one element: an expression's text would be evaluated at each mention
+    return F.get(F.transform(F.array(F.slice(F.array_sort(numbered), 1, 2)), of), F.lit(0))
 
 
 def infer(trials: DataFrame, hints: DataFrame, slips: DataFrame) -> DataFrame:
@@ -93,13 +99,14 @@ def ranking_order() -> list[Column]:
 
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """Positions 1, 2, ... in a global order: rows are sorted by range, counted per range, and numbered
-    within it from the counts before."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy("_part").count()
-    before = counts.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("_n", inside).join(F.broadcast(before), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_n", "_part", "_before")
+    """Positions 1, 2, ... in a global order: rows are sorted by range once and written with their place in their
+    range; the ranges' counts, a row each, give what comes before."""
+    place = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
+    ranged = kept(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", place))
+    split = ranged.withColumn("_part", F.shiftright("_id", 33)).withColumn("_n", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_id")
+    counts = split.groupBy("_part").count()
+    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("count")).alias("_before"))
+    return split.join(F.broadcast(before), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_n", "_part", "_before")
 
 
 def select_trials(trials: DataFrame, min_score: float | None = None, max_score: float | None = None, min_confidence: float | None = None, max_days: int | None = None, phases: list[str] | None = None, tickers: list[str] | None = None) -> DataFrame:

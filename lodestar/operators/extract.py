@@ -9,23 +9,51 @@ from lodestar.functions.text import count_matches
 from lodestar.functions.udfs import regex_spans
 
 # Shapes of asset codes, and of registry ids.
-CODE_PATTERN = r"\b[A-Z]{2,5}-\d{2,5}[A-Z]?\b|\b[A-Z]{2,5}-[A-Z]{2,4}-\d{2,5}\b|\b[A-Z]{2,5}\d{2,5}[A-Z]?\b"
+CODE_PATTERNS = (
+    r"\b[A-Z]{1,4}-\d{2,5}\b",
+    r"\b[A-Z]{1,4}\d{2,5}\b",
+    r"\b[A-Z]{2,5}-[A-Z]{1,3}-\d{2,5}\b",
+    r"\b[A-Z]{1,4}-\d+[A-Z]{1,2}\b",
+    r"\b[A-Z]{1,4}\d+[A-Z]{1,2}\b",
+)
 REGISTRY_PATTERN = r"(?i)\bNCT\d+\b"
 # Cautious and definite wording.
-CAUTIOUS = (r"\bmay\b", r"\bmight\b", r"\bcould\b", r"\bsuggests?\b", r"\bpotential(ly)?\b")
-DEFINITE = (r"\bdemonstrat(ed|es)\b", r"\bproves?d?\b", r"\bestablish(ed|es)\b", r"\bconfirm(ed|s)\b", r"\bshow(ed|s)\b")
+CAUTIOUS = (
+    r"\b(may|might|could|possibly|potentially|suggests?|indicates?|appears?|seems?)\b",
+    r"\b(preliminary|initial|exploratory|hypothesis|hypothesized)\b",
+    r"\b(limited|restricted|constrained|cautious|careful)\b",
+    r"\b(need\s+to\s+confirm|requires?\s+validation|further\s+study)\b",
+    r"\b(not\s+conclusive|inconclusive|uncertain|unclear)\b",
+)
+DEFINITE = (
+    r"\b(clearly|definitively|conclusively|unequivocally|demonstrates?|proves?|establishes?)\b",
+    r"\b(significant|highly\s+significant|statistically\s+significant)\b",
+    r"\b(robust|strong|compelling|convincing|definitive)\b",
+    r"\b(confirm|validate|verify|demonstrate|establish)\b",
+    r"\b(clear|obvious|evident|apparent|definite)\b",
+)
 # Confidence by kind of link.
 LINK_CONFIDENCE = {"nct_near_asset": 1.0, "exact_intervention_match": 0.95, "company_pr_bias": 0.90, "abstract_specificity": 0.85}
 NEAR = 250
 
 
-def entities(docs: DataFrame, doc: str, text: str, pattern: str, kind: str, page: str | None = None) -> DataFrame:
-    """Matches with their places: doc, page_no, ent_type, value_text, value_norm, char_start, char_end."""
-    spans = regex_spans(pattern)
+def entities(docs: DataFrame, doc: str, text: str, pattern: str | tuple[str, ...], kind: str, page: str | None = None) -> DataFrame:
+    """Matches of a pattern, or of several on their own, with their places: doc, page_no, ent_type, value_text, value_norm, char_start, char_end."""
+    spans = regex_spans(*((pattern,) if isinstance(pattern, str) else pattern))
     rows = docs.select(F.col(doc).alias("doc_id"), (F.col(page) if page else F.lit(1)).alias("page_no"), F.explode(spans(F.col(text))).alias("m"))
     return rows.select("doc_id", "page_no", F.lit(kind).alias("ent_type"), F.col("m.value").alias("value_text"), F.upper("m.value").alias("value_norm"), F.col("m.start").alias("char_start"), F.col("m.end").alias("char_end"))
 
 
+def codes(docs: DataFrame, doc: str, text: str, page: str | None = None) -> DataFrame:
+    """Asset codes of all shapes, each shape looked for on its own (so they may overlap); a row per place and text."""
+    return entities(docs, doc, text, CODE_PATTERNS, "code", page).distinct()
+
+
+def registry_ids(docs: DataFrame, doc: str, text: str, page: str | None = None) -> DataFrame:
+    """Trial registry ids, upper-cased."""
+    return entities(docs, doc, text, REGISTRY_PATTERN, "nct", page)
+
+
 def code_variants(found: DataFrame) -> DataFrame:
     """Each code as written and without hyphens, at the same place."""
     both = F.array_distinct(F.array(F.col("value_norm"), F.regexp_replace("value_norm", "-", "")))
@@ -111,9 +139,11 @@ def citations(text: Column) -> Column:
 
 
 def dictionary_hits(docs: DataFrame, doc: str, text: str, names: DataFrame) -> DataFrame:
-    """Single words and word pairs of a text that a dictionary (alias_norm, asset_id) holds; equi-joined."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"([a-z][a-z0-9\-]{2,})"), 1)
-    base = docs.select(F.col(doc).alias("doc_id"), words.alias("w"))
-    two = F.when(F.size("w") > 1, F.transform(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.get("w", i + 1)))).otherwise(F.array().cast("array<string>"))
-    grams = base.select("doc_id", F.explode(F.array_distinct(F.concat(F.col("w"), two))).alias("alias_norm"))
+    """Single words and pairs of words with a blank between (a word is in one pair at most) of a text that a dictionary
+    (alias_norm, asset_id) holds; equi-joined."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    words = F.regexp_extract_all(F.lower(t), F.lit(r"([a-z][a-z0-9\-]{2,})"), 1)
+    two = F.transform(F.regexp_extract_all(t, F.lit(r"(\b[A-Za-z][A-Za-z0-9\-]+ [A-Za-z][A-Za-z0-9\-]+\b)"), 1), F.lower)
+    base = docs.select(F.col(doc).alias("doc_id"), words.alias("w"), two.alias("p"))
+    grams = base.select("doc_id", F.explode(F.array_distinct(F.concat("w", "p"))).alias("alias_norm"))
     return grams.join(names, "alias_norm").select("doc_id", "alias_norm", "asset_id")

@@ -36,7 +36,7 @@ def quality_alerts(metrics: DataFrame) -> DataFrame:
 
 def open_alerts(events: DataFrame) -> DataFrame:
     """Latest state per alert from events(alert_id, ts, action); resolved ones are left out."""
-    return events.groupBy("alert_id").agg(F.max_by("action", "ts").alias("state"), F.max("ts").alias("since")).where("state <> 'resolved'")
+    return events.groupBy("alert_id").agg(F.max_by("action", F.struct("ts", "action")).alias("state"), F.max("ts").alias("since")).where("state <> 'resolved'")
 
 
 def performance(metrics: DataFrame, by: str, now: Column, hours: int) -> DataFrame:
@@ -47,7 +47,7 @@ def performance(metrics: DataFrame, by: str, now: Column, hours: int) -> DataFra
 
 
 def system_summary(samples: DataFrame, value: str, ts: str = "ts") -> DataFrame:
-    return samples.agg(F.avg(value).alias("mean"), F.max(value).alias("peak"), F.max_by(value, ts).alias("current"))
+    return samples.agg(F.avg(value).alias("mean"), F.max(value).alias("peak"), F.max_by(value, F.struct(ts, value)).alias("current"))
 
 
 def unmet_dependencies(runs: DataFrame, dependencies: DataFrame, now: Column, hours: int = 24) -> DataFrame:

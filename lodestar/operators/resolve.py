@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from lodestar.functions import text as T
 from lodestar.functions.stats import logistic
 from lodestar.functions.udfs import jaro_winkler
+from lodestar.operators.durable import kept
 
 # Weights of the logistic score, its intercept, and the decision's limits.
 WEIGHTS = {"jw_primary": 2.8, "token_set_ratio": 2.4, "acronym_exact": 1.9, "domain_root_match": 3.6, "academic_keyword_penalty": -1.2, "ticker_string_hit": 3.0}
 INTERCEPT, TAU_ACCEPT, REVIEW_LOW, MIN_MARGIN = -5.0, 0.90, 0.60, 0.05
 # Order of exchanges when a company has several listings.
-EXCHANGES = ("NASDAQ", "NYSE", "NYSE American", "OTCQX", "OTCQB")
+EXCHANGES = (("NASDAQ", "XNAS"), ("NYSE", "XNYS"), ("NYSE AMERICAN", "AMEX", "XASE"), ("NYSE ARCA", "ARCX"), ("OTCQX",), ("OTCQB",))
 #: Up to so many rows a lookup side is broadcast.
 SMALL_ROWS = 200_000
 
@@ -97,7 +98,7 @@ def candidates(sponsors: DataFrame, names: DataFrame, k: int = 10, least: float
 
 def best_security(securities: DataFrame) -> DataFrame:
     """One listing per company: by exchange, then ticker."""
-    place = F.coalesce(*(F.when(F.col("exchange") == x, F.lit(i)) for i, x in enumerate(EXCHANGES, 1)), F.lit(99))
+    place = F.coalesce(*(F.when(F.upper("exchange").isin(*x), F.lit(i)) for i, x in enumerate(EXCHANGES, 1)), F.lit(99))
     w = Window.partitionBy("company_id").orderBy(place, "ticker")
     return securities.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
@@ -163,15 +164,21 @@ def promote_aliases(accepted: DataFrame, aliases: DataFrame) -> DataFrame:
     return new.join(aliases.select("company_id", T.norm_name(F.col("alias")).alias("alias_norm")).distinct(), ["company_id", "alias_norm"], "left_anti")
 
 
-def roll_up(edges: DataFrame, max_depth: int = 20) -> DataFrame:
-    """Top parent of every child in edges(parent, child): child, top, depth.
+def roll_up(edges: DataFrame, rounds: int = 40) -> DataFrame:
+    """Top parent of every child in edges(parent, child): child, top, depth, at any depth.
 
-    A recursive query; a node with several parents gives a row per top, a cycle ends at max_depth.
+    Paths are joined end to end, so their length doubles each round and a chain of n takes log2(n) rounds.  A
+    node with several parents gives a row per top and length; one that only leads into a cycle gives none.
     """
-    edges.createOrReplaceTempView("_roll_up_edges")
-    return edges.sparkSession.sql(
-        f"""WITH RECURSIVE up(child, node, depth) AS (
-            SELECT child, parent, 1 FROM _roll_up_edges
-            UNION ALL SELECT up.child, e.parent, up.depth + 1 FROM up JOIN _roll_up_edges e ON e.child = up.node WHERE up.depth < {max_depth})
-        SELECT DISTINCT up.child, up.node AS top, up.depth FROM up LEFT ANTI JOIN _roll_up_edges e ON e.child = up.node"""
-    )
+    links = edges.select("child", "parent").where("child is not null and parent is not null").distinct()
+    tops = links.select("parent").distinct().join(links.select(F.col("child").alias("parent")), "parent", "left_anti")
+    paths = kept(links.join(tops.withColumn("_top", F.lit(True)), "parent", "left").select("child", F.col("parent").alias("node"), F.lit(1).cast("long").alias("depth"), F.coalesce("_top", F.lit(False)).alias("done")))
+    longest = paths.count()
+    for r in range(rounds):
+        open_ = paths.where("not done")
+        if (1 << r) > longest or open_.isEmpty():
+            break
+        on = paths.select(F.col("child").alias("node"), F.col("node").alias("_to"), F.col("depth").alias("_more"), F.col("done").alias("_end"))
+        further = open_.join(on, "node").select("child", F.col("_to").alias("node"), (F.col("depth") + F.col("_more")).alias("depth"), F.col("_end").alias("done"))
+        paths = kept(paths.where("done").unionByName(further.where("child <> node or done")).distinct())
+    return paths.where("done").select("child", F.col("node").alias("top"), F.col("depth").cast("int").alias("depth"))

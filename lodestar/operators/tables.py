@@ -63,7 +63,7 @@ def overlaps(ranges: DataFrame, key: str) -> DataFrame:
 def new_version(current: DataFrame, incoming: DataFrame, key: str, payload: list[str]) -> DataFrame:
     """Incoming rows whose canonical JSON differs from the latest version of the key (or that are new)."""
     digest = F.sha2(F.to_json(F.struct(*(F.col(c) for c in sorted(payload)))), 256)
-    last = current.groupBy(key).agg(F.max_by("sha256", "captured_at").alias("_old"))
+    last = current.groupBy(key).agg(F.max_by("sha256", F.struct("captured_at", "sha256")).alias("_old"))
     return incoming.withColumn("sha256", digest).join(last, key, "left").where(~F.col("sha256").eqNullSafe(F.col("_old"))).drop("_old")
 
 

@@ -48,10 +48,13 @@ def er1_name_norms(spark, sf_dir):
     return _sponsors(spark, sf_dir).select("sponsor", T.norm_name(s).alias("norm"), T.norm_loose(s).alias("loose"), T.is_academic(s).alias("academic"))
 
 
-@query(f"WITH s AS ({SPONSORS}), c AS ({COMPANIES}) , k AS (SELECT sponsor, 3 AS rank, company_id FROM s JOIN c ON {NORM.format('sponsor')} = {NORM.format('name')} UNION SELECT sponsor, 4, company_id FROM s JOIN c ON {LOOSE.format('sponsor')} = {LOOSE.format('name')} UNION SELECT sponsor, 6, company_id FROM (SELECT sponsor, regexp_extract(sponsor, 'www\\.(site[0-9]+\\.example\\.com)', 1) AS host FROM s) x JOIN c ON host = website_domain), u AS (SELECT sponsor, rank, min(company_id) AS company_id FROM k GROUP BY 1, 2 HAVING count(DISTINCT company_id) = 1) SELECT sponsor, arg_min(company_id, rank) AS company_id, CASE min(rank) WHEN 3 THEN 'name_strict' WHEN 4 THEN 'name_loose' ELSE 'website' END AS step FROM u GROUP BY 1")
+ALIASES = "SELECT s_suppkey + 1 AS company_id, 'ACME Supplier#' || lpad(CAST(s_suppkey AS VARCHAR(20)), 9, '0') || ' inc' AS alias, 'legal' AS alias_type FROM supplier WHERE s_suppkey % 3 = 1 UNION ALL SELECT s_suppkey, 'Acme supplier ' || lpad(CAST(s_suppkey AS VARCHAR(20)), 9, '0') || ' and company ltd', 'aka' FROM supplier WHERE s_suppkey % 5 = 1 UNION ALL SELECT s_suppkey, 'SITE' || CAST(s_suppkey AS VARCHAR(20)) || '.example.com', 'domain' FROM supplier WHERE s_suppkey % 4 = 2 UNION ALL SELECT s_suppkey % 3, 'University of MACHINERY', 'aka' FROM supplier UNION ALL SELECT 7, 'University of BUILDING', 'aka' FROM supplier"
+HOSTS = "SELECT sponsor, regexp_extract(sponsor, 'www\\.(site[0-9]+\\.example\\.com)', 1) AS host FROM s"
+
+
+@query(f"WITH s AS ({SPONSORS}), c AS ({COMPANIES}), al AS ({ALIASES}), x AS ({HOSTS}), k AS (SELECT sponsor, 1 AS rank, company_id FROM s JOIN al ON alias_type <> 'domain' AND {NORM.format('sponsor')} = {NORM.format('alias')} UNION SELECT sponsor, 2, company_id FROM s JOIN al ON alias_type <> 'domain' AND {LOOSE.format('sponsor')} = {LOOSE.format('alias')} UNION SELECT sponsor, 3, company_id FROM s JOIN c ON {NORM.format('sponsor')} = {NORM.format('name')} UNION SELECT sponsor, 4, company_id FROM s JOIN c ON {LOOSE.format('sponsor')} = {LOOSE.format('name')} UNION SELECT sponsor, 5, company_id FROM x JOIN al ON alias_type = 'domain' AND host = lower(alias) UNION SELECT sponsor, 6, company_id FROM x JOIN c ON host = website_domain), u AS (SELECT sponsor, rank, min(company_id) AS company_id FROM k GROUP BY 1, 2 HAVING count(DISTINCT company_id) = 1) SELECT sponsor, arg_min(company_id, rank) AS company_id, list_extract(['alias_strict', 'alias_loose', 'name_strict', 'name_loose', 'alias_domain', 'website'], min(rank)) AS step FROM u GROUP BY 1")
 def er2_deterministic(spark, sf_dir):
-    aliases = spark.createDataFrame([], "company_id long, alias string, alias_type string")
-    return resolve.deterministic(_sponsors(spark, sf_dir), _companies(spark, sf_dir), aliases)
+    return resolve.deterministic(_sponsors(spark, sf_dir), _companies(spark, sf_dir), A.select(spark, sf_dir, ALIASES, "supplier"))
 
 
 @query(f"WITH s AS ({SPONSORS}), r AS (SELECT * FROM (VALUES (1, 'supplier.0000000[0-4]', 10, 5), (2, 'company', 20, 3), (3, 'university', 30, 9)) v(rule_id, pattern, company_id, priority)), m AS (SELECT sponsor, r.* FROM s JOIN r ON regexp_matches(sponsor, '(?i)' || pattern)) SELECT sponsor, arg_min(company_id, priority) AS company_id, arg_min(rule_id, priority) AS rule_id FROM m GROUP BY 1")
@@ -69,22 +72,26 @@ GRAMS = "list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(
 PARTS = "SELECT DISTINCT p_name AS name FROM part"
 
 
-@query(f"WITH p AS ({PARTS}), n AS (SELECT row_number() OVER (ORDER BY name) AS company_id, name, {GRAMS.format('name')} AS g FROM p), a AS (SELECT name AS sponsor, unnest(g) AS t, len(g) AS na FROM n), b AS (SELECT company_id, name, unnest(g) AS t, len(g) AS nb FROM n), k AS (SELECT sponsor, company_id, na, nb, count(*) AS c FROM a JOIN b USING (t) GROUP BY ALL), m AS (SELECT sponsor, company_id, c / CAST(na + nb - c AS DOUBLE) AS sim FROM k WHERE c / CAST(na + nb - c AS DOUBLE) >= 3e-1), o AS (SELECT *, row_number() OVER (PARTITION BY sponsor ORDER BY sim DESC, company_id) AS rank FROM m) SELECT sponsor, company_id, round(sim, 6) AS sim, rank FROM o WHERE rank <= 5")
-def er3_trigram_candidates(spark, sf_dir):
+CANDIDATES = f"p AS ({PARTS}), n AS (SELECT name, {GRAMS.format('name')} AS g FROM p), a AS (SELECT name AS sponsor, unnest(g) AS t, len(g) AS na FROM n), b AS (SELECT name, unnest(g) AS t, len(g) AS nb FROM n), k AS (SELECT sponsor, name, na, nb, count(*) AS c FROM a JOIN b USING (t) GROUP BY ALL), m AS (SELECT sponsor, name, c / CAST(na + nb - c AS DOUBLE) AS sim FROM k WHERE c / CAST(na + nb - c AS DOUBLE) >= 3e-1), o AS (SELECT *, row_number() OVER (PARTITION BY sponsor ORDER BY sim DESC, name) AS rank FROM m)"
+
+
+def _candidates(spark, sf_dir, k: int) -> DataFrame:
     names = A.select(spark, sf_dir, PARTS, "part")
-    numbered = names.withColumn("company_id", F.row_number().over(Window.orderBy("name")))  # distinct part names: a small list
-    out = resolve.candidates(names.withColumnRenamed("name", "sponsor"), numbered, k=5)
-    return out.select("sponsor", "company_id", F.round("sim", 6).alias("sim"), "rank")
+    return resolve.candidates(names.withColumnRenamed("name", "sponsor"), names.withColumn("company_id", F.col("name")), k=k)
+
+
+@query(f"WITH {CANDIDATES} SELECT sponsor, name AS company_id, round(sim, 6) AS sim, rank FROM o WHERE rank <= 5")
+def er3_trigram_candidates(spark, sf_dir):
+    return _candidates(spark, sf_dir, 5).select("sponsor", "company_id", F.round("sim", 6).alias("sim"), "rank")
 
 
 JW = "(jaro_similarity({0}, {1}) + 1e-1 * (1 - jaro_similarity({0}, {1})) * CASE WHEN substr({0}, 1, 1) <> substr({1}, 1, 1) THEN 0 WHEN substr({0}, 2, 1) <> substr({1}, 2, 1) THEN 1 WHEN substr({0}, 3, 1) <> substr({1}, 3, 1) THEN 2 WHEN substr({0}, 4, 1) <> substr({1}, 4, 1) THEN 3 ELSE 4 END)"
 TOKS = "list_distinct(list_filter(regexp_split_to_array({0}, '[^a-z0-9-]+'), lambda w: w <> ''))"
-PAIRS = f"WITH p AS ({PARTS}), f AS (SELECT a.name AS sponsor, b.name AS name, {JW.format('a.name', 'b.name')} AS jw, {TOKS.format('a.name')} AS x, {TOKS.format('b.name')} AS y FROM p a JOIN p b ON substr(a.name, 1, 1) = substr(b.name, 1, 1)), g AS (SELECT sponsor, name, jw, 2e0 * len(list_intersect(x, y)) / (len(x) + len(y)) AS dice FROM f), h AS (SELECT *, row_number() OVER () AS z, 1 / (1 + exp(-(-5e0 + 28e-1 * jw + 24e-1 * dice))) AS p FROM g)"
+PAIRS = f"WITH {CANDIDATES}, f AS (SELECT sponsor, name, {JW.format('sponsor', 'name')} AS jw, {TOKS.format('sponsor')} AS x, {TOKS.format('name')} AS y FROM o WHERE rank <= 10), g AS (SELECT sponsor, name, jw, 2e0 * len(list_intersect(x, y)) / (len(x) + len(y)) AS dice FROM f), h AS (SELECT *, 1 / (1 + exp(-(-5e0 + 28e-1 * jw + 24e-1 * dice))) AS p FROM g)"
 
 
 def _features(spark, sf_dir) -> DataFrame:
-    a, b = A.select(spark, sf_dir, PARTS, "part").withColumnRenamed("name", "sponsor"), A.select(spark, sf_dir, PARTS, "part")
-    pairs = a.join(b, F.substring("sponsor", 1, 1) == F.substring("name", 1, 1)).withColumn("website_domain", F.lit(None).cast("string")).withColumn("ticker", F.lit(None).cast("string"))
+    pairs = _candidates(spark, sf_dir, 10).select("sponsor", "name", F.lit(None).cast("string").alias("website_domain"), F.lit(None).cast("string").alias("ticker"))
     weights = {"jw_primary": 2.8, "token_set_ratio": 2.4}
     return resolve.features(pairs).withColumn("p", resolve.logistic_score(weights))
 
@@ -100,17 +107,17 @@ def er7_decision(spark, sf_dir):
     return resolve.decide(scored, 0.3, 0.1, 0.01).withColumn("margin", F.round("margin", 6))
 
 
-EDGES = "SELECT 'R' || CAST(r_regionkey AS VARCHAR(20)) AS parent, 'N' || CAST(n_nationkey AS VARCHAR(20)) AS child FROM region JOIN nation ON n_regionkey = r_regionkey UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR(20)), 'C' || CAST(c_custkey AS VARCHAR(20)) FROM customer"
+EDGES = "SELECT 'R' || CAST(r_regionkey AS VARCHAR(20)) AS parent, 'N' || CAST(n_nationkey AS VARCHAR(20)) AS child FROM region JOIN nation ON n_regionkey = r_regionkey UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR(20)), 'C' || CAST(c_custkey AS VARCHAR(20)) FROM customer UNION ALL SELECT 'K' || CAST(p_partkey - 1 AS VARCHAR(20)), 'K' || CAST(p_partkey AS VARCHAR(20)) FROM part WHERE p_partkey BETWEEN 2 AND 90"
 
 
-@query("SELECT 'N' || n_nationkey AS child, 'R' || n_regionkey AS top, 1 AS depth FROM nation UNION ALL SELECT 'C' || c_custkey, 'R' || n_regionkey, 2 FROM customer JOIN nation ON c_nationkey = n_nationkey")
+@query("SELECT 'N' || n_nationkey AS child, 'R' || n_regionkey AS top, 1 AS depth FROM nation UNION ALL SELECT 'C' || c_custkey, 'R' || n_regionkey, 2 FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'K' || p_partkey, 'K1', CAST(p_partkey - 1 AS INT) FROM part WHERE p_partkey BETWEEN 2 AND 90")
 def er17_roll_up(spark, sf_dir):
-    return resolve.roll_up(A.select(spark, sf_dir, EDGES, "region", "nation", "customer"))
+    return resolve.roll_up(A.select(spark, sf_dir, EDGES, "region", "nation", "customer", "part"))
 
 
-@query("WITH s AS (SELECT p_brand AS company_id, CASE p_size % 4 WHEN 0 THEN 'NASDAQ' WHEN 1 THEN 'NYSE' WHEN 2 THEN 'OTCQB' ELSE 'LSE' END AS exchange, p_type || CAST(p_partkey AS VARCHAR) AS ticker FROM part), r AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY CASE exchange WHEN 'NASDAQ' THEN 1 WHEN 'NYSE' THEN 2 WHEN 'OTCQB' THEN 5 ELSE 99 END, ticker) AS rn FROM s) SELECT company_id, exchange, ticker FROM r WHERE rn = 1")
+@query("WITH s AS (SELECT p_brand AS company_id, CASE p_size % 6 WHEN 0 THEN 'nasdaq' WHEN 1 THEN 'XNYS' WHEN 2 THEN 'OTCQB' WHEN 3 THEN 'NYSE Arca' WHEN 4 THEN 'AMEX' ELSE 'LSE' END AS exchange, p_type || CAST(p_partkey AS VARCHAR) AS ticker FROM part), r AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY CASE upper(exchange) WHEN 'NASDAQ' THEN 1 WHEN 'XNYS' THEN 2 WHEN 'AMEX' THEN 3 WHEN 'NYSE ARCA' THEN 4 WHEN 'OTCQB' THEN 6 ELSE 99 END, ticker) AS rn FROM s) SELECT company_id, exchange, ticker FROM r WHERE rn = 1")
 def w1_best_security(spark, sf_dir):
-    s = A.tables(spark, sf_dir, "part")["part"].select(F.col("p_brand").alias("company_id"), F.when(F.col("p_size") % 4 == 0, "NASDAQ").when(F.col("p_size") % 4 == 1, "NYSE").when(F.col("p_size") % 4 == 2, "OTCQB").otherwise("LSE").alias("exchange"), F.concat("p_type", F.col("p_partkey").cast("string")).alias("ticker"))
+    s = A.tables(spark, sf_dir, "part")["part"].select(F.col("p_brand").alias("company_id"), F.when(F.col("p_size") % 6 == 0, "nasdaq").when(F.col("p_size") % 6 == 1, "XNYS").when(F.col("p_size") % 6 == 2, "OTCQB").when(F.col("p_size") % 6 == 3, "NYSE Arca").when(F.col("p_size") % 6 == 4, "AMEX").otherwise("LSE").alias("exchange"), F.concat("p_type", F.col("p_partkey").cast("string")).alias("ticker"))
     return resolve.best_security(s)
 
 
@@ -136,17 +143,22 @@ def er16_review_queue(spark, sf_dir):
 # --- text -------------------------------------------------------------------------------------------
 
 
-@query("SELECT doc_id, upper(unnest(regexp_extract_all(text, '\\b[A-Z][a-z]{2,3}\\b'))) AS value_norm FROM documents WHERE lang = 'en'")
+NOTES = "SELECT p_partkey AS doc_id, 'Trial of ' || upper(substr(p_name, 1, 2)) || '-' || CAST(p_partkey AS VARCHAR(20)) || ' with ' || upper(substr(p_name, 1, 3)) || CAST(p_partkey * 7 AS VARCHAR(20)) || 'X, BMS-' || upper(substr(p_type, 1, 2)) || '-' || CAST(p_partkey + 10 AS VARCHAR(20)) || ' (nct' || CAST(p_partkey AS VARCHAR(20)) || ', NCT0' || CAST(p_size AS VARCHAR(20)) || ') and A-123X or ' || p_name || '.' AS text FROM part"
+EACH_CODE = ", ".join(f"regexp_extract_all(text, '{p}')" for p in extract.CODE_PATTERNS)
+
+
+def _notes(spark, sf_dir) -> DataFrame:
+    return A.select(spark, sf_dir, NOTES, "part")
+
+
+@query(f"WITH d AS ({NOTES}) SELECT doc_id, unnest(list_distinct(flatten([{EACH_CODE}]))) AS value_norm FROM d")
 def tx1_code_entities(spark, sf_dir):
-    docs = A.tables(spark, sf_dir, "documents")["documents"].where("lang = 'en'")
-    return extract.entities(docs, "doc_id", "text", r"(?a)\b[A-Z][a-z]{2,3}\b", "code").select("doc_id", "value_norm")
+    return extract.codes(_notes(spark, sf_dir), "doc_id", "text").select("doc_id", "value_norm").distinct()
 
 
-@query("WITH e AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)(tion|ung|que)')) AS v FROM documents) SELECT doc_id, upper(v) AS value_norm, count(*) AS n FROM e GROUP BY 1, 2")
+@query(f"WITH d AS ({NOTES}), e AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\\bNCT[0-9]+\\b')) AS v FROM d) SELECT doc_id, upper(v) AS value_norm, count(*) AS n FROM e GROUP BY 1, 2")
 def tx3_registry_ids(spark, sf_dir):
-    docs = A.tables(spark, sf_dir, "documents")["documents"]
-    hits = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(?i)(tion|ung|que)"), 1)).alias("v"))
-    return hits.groupBy("doc_id", F.upper("v").alias("value_norm")).agg(F.count("*").alias("n"))
+    return extract.registry_ids(_notes(spark, sf_dir), "doc_id", "text").groupBy("doc_id", "value_norm").agg(F.count("*").alias("n"))
 
 
 ENTS = "SELECT l_orderkey AS doc_id, CAST(l_linenumber % 2 AS INT) AS page_no, 'K' || CAST(l_partkey % 50 AS VARCHAR(20)) AS value_norm, CAST(floor(l_extendedprice) AS BIGINT) % 2000 AS char_start, CAST(floor(l_extendedprice) AS BIGINT) % 2000 + 6 AS char_end, l_returnflag AS ent_type, l_discount AS confidence FROM lineitem"
@@ -167,9 +179,9 @@ def tx4_entity_dedupe(spark, sf_dir):
     return extract.dedupe(_ents(spark, sf_dir), "content").select("doc_id", "value_norm", "page_no", "char_start")
 
 
-@query(f"WITH e AS ({ENTS}), al AS (SELECT 'K' || CAST(p_partkey % 60 AS VARCHAR) AS alias_norm, p_size % 40 AS asset_id FROM part), o AS (SELECT alias_norm, min(asset_id) AS asset_id FROM al GROUP BY 1 HAVING count(DISTINCT asset_id) = 1) SELECT DISTINCT doc_id, value_norm, asset_id FROM e JOIN o ON alias_norm = value_norm")
+@query(f"WITH e AS ({ENTS}), al AS (SELECT 'K' || CAST(p_partkey % 60 AS VARCHAR) AS alias_norm, CASE WHEN p_partkey % 3 = 0 THEN p_size % 40 ELSE p_partkey % 60 END AS asset_id FROM part), o AS (SELECT alias_norm, min(asset_id) AS asset_id FROM al GROUP BY 1 HAVING count(DISTINCT asset_id) = 1) SELECT DISTINCT doc_id, value_norm, asset_id FROM e JOIN o ON alias_norm = value_norm")
 def tx9_unique_codes(spark, sf_dir):
-    alias = A.tables(spark, sf_dir, "part")["part"].select(F.concat(F.lit("K"), (F.col("p_partkey") % 60).cast("string")).alias("alias_norm"), (F.col("p_size") % 40).alias("asset_id"))
+    alias = A.tables(spark, sf_dir, "part")["part"].select(F.concat(F.lit("K"), (F.col("p_partkey") % 60).cast("string")).alias("alias_norm"), F.when(F.col("p_partkey") % 3 == 0, F.col("p_size") % 40).otherwise(F.col("p_partkey") % 60).alias("asset_id"))
     return extract.unique_codes(_ents(spark, sf_dir), alias).select("doc_id", "value_norm", "asset_id")
 
 
@@ -190,11 +202,14 @@ def tx12_link_precision(spark, sf_dir):
     return extract.may_promote(extract.link_precision(audit), 0.9, 10)
 
 
-@query("WITH t AS (SELECT doc_id, len(regexp_extract_all(lower(text), '\\b(the|to)\\b')) AS cautious, len(regexp_extract_all(lower(text), '\\b(of|and)\\b')) AS definite FROM documents) SELECT doc_id, cautious, definite FROM t")
+WORDING = "SELECT c_custkey AS doc_id, CASE c_custkey % 4 WHEN 0 THEN 'This may suggest Limited, preliminary results; it appears unclear.' WHEN 1 THEN 'Clearly robust and highly significant: the data demonstrate a strong effect.' WHEN 2 THEN 'It could confirm an initial finding' ELSE c_mktsegment END || CASE c_custkey % 3 WHEN 0 THEN ' Further study might verify an evident hypothesis.' ELSE '' END AS text FROM customer"
+HITS = {k: " + ".join(f"len(regexp_extract_all(text, '(?i){p}'))" for p in v) for k, v in (("cautious", extract.CAUTIOUS), ("definite", extract.DEFINITE))}
+
+
+@query(f"WITH d AS ({WORDING}), t AS (SELECT doc_id, {HITS['cautious']} AS cautious, {HITS['definite']} AS definite FROM d) SELECT *, CASE WHEN definite > 2 * cautious THEN 'definitive' WHEN cautious > 2 * definite THEN 'cautious' ELSE 'neutral' END AS tone FROM t")
 def tx22_wording_counts(spark, sf_dir):
-    docs = A.tables(spark, sf_dir, "documents")["documents"]
-    n = lambda *p: T.count_matches(F.col("text"), p).cast("long")
-    return docs.select("doc_id", n(r"\bthe\b", r"\bto\b").alias("cautious"), n(r"\bof\b", r"\band\b").alias("definite"))
+    t = A.select(spark, sf_dir, WORDING, "customer").select("doc_id", extract.tone(F.col("text")).alias("t"))
+    return t.select("doc_id", F.col("t.cautious").cast("long").alias("cautious"), F.col("t.definite").cast("long").alias("definite"), "t.tone")
 
 
 @query("WITH c AS (SELECT conv_id, turn, string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)) AS p FROM conversations), u AS (SELECT conv_id * 100 + turn AS doc_id, unnest(p) AS chunk, unnest(range(len(p))) AS para_no FROM c), s AS (SELECT *, coalesce(sum(len(chunk) + 2) OVER (PARTITION BY doc_id ORDER BY para_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM u) SELECT doc_id, CAST(para_no AS INT) AS para_no, CAST(start AS INT) AS start, chunk FROM s WHERE trim(chunk) <> ''")
@@ -204,11 +219,13 @@ def tx21_chunks(spark, sf_dir):
     return extract.chunks(docs, "doc_id", "text")
 
 
-@query("WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z][a-z0-9-]{2,}')) AS w FROM documents), u AS (SELECT doc_id, unnest(w) AS alias_norm FROM w), d AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS alias_norm FROM part UNION SELECT unnest(['the', 'der', 'que', 'with'])) SELECT doc_id, alias_norm FROM u JOIN d USING (alias_norm)")
+NAMES = "SELECT DISTINCT split_part(p_name, ' ', 1) AS alias_norm FROM part UNION SELECT DISTINCT p_name FROM part WHERE p_size % 2 = 0"
+
+
+@query(f"WITH d AS ({NOTES}), w AS (SELECT doc_id, list_distinct(list_concat(regexp_extract_all(lower(text), '[a-z][a-z0-9-]{{2,}}'), list_transform(regexp_extract_all(text, '\\b[A-Za-z][A-Za-z0-9-]+ [A-Za-z][A-Za-z0-9-]+\\b'), lambda x: lower(x)))) AS w FROM d), u AS (SELECT doc_id, unnest(w) AS alias_norm FROM w) SELECT doc_id, alias_norm FROM u JOIN ({NAMES}) n USING (alias_norm)")
 def tx15_dictionary_hits(spark, sf_dir):
-    t = A.tables(spark, sf_dir, "documents", "part")
-    words = t["part"].select(F.substring_index("p_name", " ", 1).alias("alias_norm")).union(spark.createDataFrame([("the",), ("der",), ("que",), ("with",)], "alias_norm string")).distinct().withColumn("asset_id", F.lit(1))
-    return extract.dictionary_hits(t["documents"], "doc_id", "text", words).select("doc_id", "alias_norm")
+    words = A.select(spark, sf_dir, NAMES, "part").withColumn("asset_id", F.lit(1))
+    return extract.dictionary_hits(_notes(spark, sf_dir), "doc_id", "text", words).select("doc_id", "alias_norm")
 
 
 @query()

@@ -53,6 +53,18 @@ def test_decisions_and_margin(spark):
     assert got == {"a": ("review", 1), "b": ("accept", 1), "c": ("review", 1), "d": ("reject", None)}
 
 
+def test_roll_up_of_long_chains_and_cycles(spark):
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(75)] + [("p", "q"), ("q", "p"), ("q", "r"), ("t", "n40")]
+    got = {(r.child, r.top): r.depth for r in resolve.roll_up(spark.createDataFrame(edges, "parent string, child string")).collect()}
+    assert all(got[f"n{i}", "n0"] == i for i in range(1, 76)) and got["n75", "t"] == 36
+    assert not any(c in "pqr" for c, _ in got)
+
+
+def test_code_shapes_overlap(spark):
+    docs = spark.createDataFrame([(1, "A-123 and AB-1X and AB12C and BMS-A-001 with ABCDE-12")], "doc_id int, text string")
+    assert {r.value_norm for r in extract.codes(docs, "doc_id", "text").collect()} == {"A-123", "A-001", "BMS-A-001", "AB-1X", "AB12C"}
+
+
 def test_roll_up_depths(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y")], "parent string, child string")
     assert {(r.child, r.top, r.depth) for r in resolve.roll_up(edges).collect()} == {("b", "a", 1), ("c", "a", 2), ("d", "a", 3), ("y", "x", 1)}
@@ -61,7 +73,7 @@ def test_roll_up_depths(spark):
 def test_codes_links_and_distance(spark):
     text = "AB-123 starts here. " + "x" * 200 + " NCT01234567 then XYZ-456."
     docs = spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string")
-    codes = extract.entities(docs, "doc_id", "text", extract.CODE_PATTERN, "code")
+    codes = extract.codes(docs, "doc_id", "text")
     ids = extract.entities(docs, "doc_id", "text", extract.REGISTRY_PATTERN, "nct")
     found = {(r.value_norm, r.char_start) for r in extract.code_variants(codes).collect()}
     assert {("AB-123", 0), ("AB123", 0)} <= found

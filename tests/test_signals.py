@@ -166,6 +166,20 @@ def test_windows_fuse(spark):
     assert got[3].certainty == pytest.approx(1 - 15 / 30 * 0.5)
 
 
+@pytest.mark.parametrize("partitions", ["8", "200"])
+def test_numbering_keeps_rows_with_a_payload(spark, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.range(200_000).select((F.xxhash64("id") % 1000).alias("k"), F.col("id"), F.concat(F.lit("payload "), F.col("id").cast("string")).alias("text"))
+        got = catalyst.number_rows(df, [F.desc("k"), F.asc("id")])
+        n = got.agg(F.count("*"), F.countDistinct("position"), F.min("position"), F.max("position")).first()
+        assert tuple(n) == (200_000, 200_000, 1, 200_000)
+        want = [r.text for r in df.orderBy(F.desc("k"), "id").limit(50).collect()]
+        assert [r.text for r in got.where("position <= 50").orderBy("position").collect()] == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_global_numbering(spark):
     df = spark.range(1000).withColumn("k", F.col("id") * 37 % 101)
     got = catalyst.number_rows(df, [F.desc("k"), F.asc("id")]).orderBy("position").collect()
