@@ -63,5 +63,22 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing)}
-#: None of the ten is one SQL statement on whole tables in reasonable time: each is tested against brute force.
-ORACLES: dict[str, str] = {}
+WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+#: All pairs by brute force.  The others can't be told in SQL, or not fast enough on whole tables, and are
+#: tested against plain versions.
+ORACLES: dict[str, str] = {
+    "op7_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN 1 ELSE 0 END) AS b FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+        d AS (SELECT q.vec_id AS query_id, n.vec_id AS neighbor_id, CAST(list_sum(list_transform(list_zip(q.b, n.b), lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS INT) AS distance FROM v q JOIN v n ON q.vec_id <> n.vec_id WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INT) AS rank FROM d)
+        SELECT query_id, rank, neighbor_id, distance FROM r WHERE rank <= 10""",
+    "op8_near_dups": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS g FROM w),
+        u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+        k AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        e AS (SELECT a, b FROM k UNION SELECT b, a FROM k),
+        c(node, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.node),
+        m AS (SELECT node, min(root) AS component_id FROM c GROUP BY node)
+        SELECT doc_id, len(g) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN m ON node = doc_id""",
+}
