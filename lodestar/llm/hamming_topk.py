@@ -46,14 +46,14 @@ def masks(width: int, r: int) -> Column:
     return F.split(F.lit(text), ",").cast("array<bigint>") if text else F.array().cast("array<bigint>")
 
 
-def top_k(df: DataFrame, id_col: str, code_col: str, *, k: int = 10, every: int = 20, tasks: int = 4_000) -> DataFrame:
+def top_k(df: DataFrame, id_col: str, code_col: str, *, k: int = 10, every: int = 20, per_task: int = 200) -> DataFrame:
     """The k nearest other rows of every row whose id is divisible by `every`; returns query_id, rank
     (from 1), neighbor_id, distance.  Order: distance, then id.
 
     Works on distinct codes: of the copies of one code only the k + 1 smallest ids matter, which are
     ranked before the shuffle.  Rows without id or code are left out; with fewer than k other rows all
     are returned; rows that share id and code are one.  Ids are whole numbers (else ValueError).  A task
-    probes for `tasks` queries, about.
+    probes for per_task queries, about.
     """
     if dict(df.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint"):
         raise ValueError(f"{id_col} must hold whole numbers")
@@ -70,7 +70,9 @@ def top_k(df: DataFrame, id_col: str, code_col: str, *, k: int = 10, every: int
     best = found = None
     nearest = Window.partitionBy("q").orderBy("distance", "least", "code")
     for r in range(width + 1):
-        spread = active.repartition(max(8, active.count() // tasks), "q")
+        # written again, so that what the join sees is no shuffle of few rows that it would send to the driver
+        n = active.count() // per_task
+        spread = settle(active.repartition(n, "q")) if n > 1 else active
         near = F.element_at(F.array(*(masks(w, r) for _, w in parts)), F.col("x.seg") + 1)
         probes = spread.select("q", "bound", F.explode(segments_of(F.col("q"), parts)).alias("x")).select("q", "bound", "x.seg", "x.value", F.explode(near).alias("mask"))
         probes = probes.select("q", "bound", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
