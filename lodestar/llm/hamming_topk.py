@@ -1,6 +1,6 @@
 """Exact top-k search of 64-bit codes by incremental multi-index hashing.
 
-Codes are cut into segments of about as many bits as the number of codes has, each an index from segment value to codes.  In ring r, a query looks up
+Codes are cut into segments, fewer and wider ones for very many codes, each an index from segment value to codes.  In ring r, a query looks up
 all values that differ from its own in exactly r bits, segment by segment, and what it finds is
 verified by the full distance.  Two codes of distance d agree in some segment up to d // segments
 bits, so after ring r everything nearer than segments * (r + 1) is known, and a query whose k-th
@@ -9,7 +9,6 @@ verified distance is covered by that leaves the search.
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,8 +27,9 @@ def sign_code(vector: Column) -> Column:
 
 
 def cuts(count: int) -> list[tuple[int, int]]:
-    """First bit and width of each segment: about log2(count) bits, so that a value has about one code."""
-    n = min(8, max(2, round(BITS / max(8, math.log2(max(2, count))))))
+    """First bit and width of each segment: four of 16 bits, and fewer, wider ones where so many codes would share
+    a value that looking them up costs more than the additional probes."""
+    n = 4 if count < 1 << 22 else 3 if count < 1 << 28 else 2
     edges = [BITS * k // n for k in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
