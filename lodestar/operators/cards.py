@@ -91,35 +91,47 @@ PHASE_KINDS = {
     "confirmatory": ("phase_3", "pivotal"),
     "post_approval": ("phase_4", "post_marketing"),
 }
+FOUND = "array<struct<field:string,path:string,type:string,value:string,status:string,confidence:double>>"
+ISSUES = "array<struct<field:string,rule:string,level:string,message:string>>"
 EVIDENCE = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("field", "field_path", "evidence_type", "value")]))
 
 
+def _path(path: str) -> str:
+    return "$" + "".join(f"['{k}']" for k in path.split("."))
+
+
 def at(card: Column, path: str) -> Column:
     """The variant at a dotted path; null if a step is missing."""
-    return F.try_variant_get(card, "$" + "".join(f"['{k}']" for k in path.split(".")), "variant")
+    return F.try_variant_get(card, _path(path), "variant")
 
 
 def kind_of(v: Column) -> Column:
     """text, number, boolean, array, object or null (JSON's null); null if there is nothing."""
-    k = F.schema_of_variant(v)
-    return F.when(v.isNull(), F.lit(None)).when(k == "VOID", "null").when(k == "STRING", "text").when(k == "BOOLEAN", "boolean").when(k.startswith("ARRAY"), "array").when(k.startswith("OBJECT"), "object").otherwise("number")
+    named = lambda k: F.when(k == "VOID", "null").when(k == "STRING", "text").when(k == "BOOLEAN", "boolean").when(k.startswith("ARRAY"), "array").when(k.startswith("OBJECT"), "object").when(k.isNotNull(), "number")
+    return let(F.schema_of_variant(v), named)
 
 
 def text_of(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
+def _kind_and_text(v: Column) -> Column:
+    return F.struct(kind_of(v).alias("kind"), text_of(v).alias("text"))
+
+
 def truthy(v: Column) -> Column:
     """Whether a value is there and neither null, false, 0 nor empty."""
-    k, s = kind_of(v), text_of(v)
-    of_kind = F.when(k == "text", s != "").when(k == "boolean", s == "true").when(k == "number", s.try_cast("double") != 0).when(k.isin("array", "object"), ~s.isin("[]", "{}"))
-    return F.coalesce(of_kind, F.lit(False))
+
+    def of(x):
+        k, s = x["kind"], x["text"]
+        return F.coalesce(F.when(k == "text", s != "").when(k == "boolean", s == "true").when(k == "number", s.try_cast("double") != 0).when(k.isin("array", "object"), ~s.isin("[]", "{}")), F.lit(False))
+
+    return let(_kind_and_text(v), of)
 
 
 def number_of(v: Column) -> Column:
     """A number, a text that is one, or a flag as 1 or 0; else null."""
-    k, s = kind_of(v), text_of(v)
-    return F.when(k == "boolean", F.when(s == "true", 1.0).otherwise(0.0)).when(k.isin("number", "text"), F.trim(s).try_cast("double"))
+    return let(_kind_and_text(v), lambda x: F.when(x["kind"] == "boolean", F.when(x["text"] == "true", 1.0).otherwise(0.0)).when(x["kind"].isin("number", "text"), F.trim(x["text"]).try_cast("double")))
 
 
 def whole_of(v: Column) -> Column:
@@ -137,45 +149,49 @@ def _entries(v: Column) -> Column:
     return F.coalesce(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), F.array().cast("array<struct<key:string,value:variant>>"))
 
 
-def _status(v: Column, kind: str) -> Column:
-    k, s = kind_of(v), text_of(v)
-    made = lambda status, confidence: F.struct(F.lit(status).alias("status"), F.lit(confidence).alias("confidence"))
-    yes, bad = made("extracted", 1.0), made("invalid", 0.0)
-    if kind == "text":
-        return F.when((k == "text") & s.rlike(r"(?U)\S"), yes).when(k == "text", made("partial", 0.3)).otherwise(bad)
-    if kind == "number":
-        return F.when(k.isin("number", "boolean"), yes).otherwise(made("missing", 0.0))
-    if kind == "boolean":
-        return F.when(k == "boolean", yes).otherwise(bad)
-    if kind == "date":
-        return F.when(k.isin("number", "boolean") | ((k == "text") & s.rlike(r"^(\d{4}|\d{2}/\d{2}/\d{4})")), yes).otherwise(bad)
-    return F.when((k == kind) & s.isin("[]", "{}"), made("partial", 0.5)).when(k == kind, yes).otherwise(bad)
+def _status(kind: Column, k: Column, s: Column) -> Column:
+    """Status of a value of kind k and text s in a field of a kind."""
+    number = k.isin("number", "boolean")
+    found = (
+        F.when(s.isNull(), "missing")
+        .when(kind == "text", F.when(k != "text", "invalid").when(s.rlike(r"(?U)\S"), "extracted").otherwise("partial"))
+        .when(kind == "number", F.when(number, "extracted").otherwise("missing"))
+        .when(kind == "date", F.when(number | ((k == "text") & s.rlike(r"^(\d{4}|\d{2}/\d{2}/\d{4})")), "extracted").otherwise("invalid"))
+        .when(k != kind, "invalid")
+        .otherwise(F.when(s.isin("[]", "{}"), "partial").otherwise("extracted"))
+    )
+    return found
 
 
 def fields(card: Column) -> Column:
     """Structs (field, path, type, value, status, confidence) of the fields a card has, and of required ones it lacks; none
-    for a null or empty card."""
+    for a null or empty card.  A loop over the table of fields, so that the plan holds the rule once."""
+    table = F.array(*(F.struct(F.lit(n).alias("field"), F.lit(p).alias("path"), F.lit(_path(p)).alias("at"), F.lit(k).alias("type"), F.lit(r).alias("needed")) for n, p, k, r in FIELDS))
 
-    def one(name, path, kind, needed):
-        row = lambda value, how: F.struct(F.lit(name).alias("field"), F.lit(path).alias("path"), F.lit(kind).alias("type"), value.alias("value"), how["status"].alias("status"), how["confidence"].alias("confidence"))
-        none = F.struct(F.lit("missing").alias("status"), F.lit(0.0).alias("confidence"))
-        missing = row(F.lit(None).cast("string"), none) if needed else F.lit(None)
-        return let(at(card, path), lambda v: F.when(v.isNull() | (kind_of(v) == "null"), missing).otherwise(let(_status(v, kind), lambda how: row(text_of(v), how))))
+    def row(f, x):
+        status = _status(f["type"], x["kind"], x["text"])
+        confidence = lambda how: F.when(how == "extracted", 1.0).when(how == "partial", F.when(f["type"] == "text", 0.3).otherwise(0.5)).otherwise(0.0)
+        made = let(status, lambda how: F.struct(f["field"].alias("field"), f["path"].alias("path"), f["type"].alias("type"), x["text"].alias("value"), how.alias("status"), confidence(how).alias("confidence")))
+        return F.when(x["text"].isNotNull() | f["needed"], made)
 
-    found = F.array_compact(F.array(*(one(*f) for f in FIELDS)))
-    return F.when(truthy(card), found).otherwise(F.slice(found, 1, 0))
+    found = F.array_compact(F.transform(table, lambda f: let(_kind_and_text(F.try_variant_get(card, f["at"], "variant")), lambda x: row(f, x))))
+    return F.when(truthy(card), found).otherwise(F.array().cast(FOUND))
 
 
 def fields_summary(found: Column) -> Column:
     """Struct of counts by status, mean confidence and completeness of what `fields` gives; zeros for none."""
-    n = F.size(found)
-    count = lambda s: F.size(F.filter(found, lambda f: f["status"] == s))
-    share = lambda x: F.coalesce(F.try_divide(x, n), F.lit(0.0))
-    total = F.aggregate(found, F.lit(0.0), lambda a, f: a + f["confidence"])
-    return F.struct(
-        n.alias("total_fields"), *(count(s).alias(f"{s}_count") for s in ("extracted", "partial", "missing", "invalid")),
-        share(count("extracted")).alias("extraction_rate"), share(total).alias("avg_confidence"), share(count("extracted") + count("partial") * 0.5).alias("completeness_score"),
-    )
+
+    def of(found):
+        n = F.size(found)
+        count = lambda s: F.size(F.filter(found, lambda f: f["status"] == s))
+        share = lambda x: F.coalesce(F.try_divide(x, n), F.lit(0.0))
+        total = F.aggregate(found, F.lit(0.0), lambda a, f: a + f["confidence"])
+        return F.struct(
+            n.alias("total_fields"), *(count(s).alias(f"{s}_count") for s in ("extracted", "partial", "missing", "invalid")),
+            share(count("extracted")).alias("extraction_rate"), share(total).alias("avg_confidence"), share(count("extracted") + count("partial") * 0.5).alias("completeness_score"),
+        )
+
+    return let(found, of)
 
 
 def evidence_of(card: dict) -> list[dict]:
@@ -222,7 +238,7 @@ def _issue(field: str, rule: str, level: str, message) -> Column:
 def issues(card: Column, found: Column) -> Column:
     """Structs (field, rule, level, message): missing and malformed fields, fields without evidence, populations and counts
     that don't fit, weak evidence.  `found` is what `evidence` gives.  None for a null or empty card."""
-    known = lambda v: v.isNotNull() & (kind_of(v) != "null")
+    known = lambda v: text_of(v).isNotNull()
     out = []
     for name, path, kind, needed in FIELDS:
         v = at(card, path)
@@ -255,7 +271,7 @@ def issues(card: Column, found: Column) -> Column:
     weak = F.try_divide(F.size(F.filter(found, lambda e: ~good(e))), F.size(found))
     out.append(F.when(weak > 0.3, _issue("evidence_quality", "evidence_presence", "warning", F.format_string("Low quality evidence detected (%.1f%%)", weak * 100))))
     every = F.array_compact(F.array(*out))
-    return F.when(truthy(card), every).otherwise(F.slice(every, 1, 0))
+    return F.when(truthy(card), every).otherwise(F.array().cast(ISSUES))
 
 
 def _of_field(name: str):
@@ -269,10 +285,18 @@ def grade(score: Column) -> Column:
 def validation(found_issues: Column, summary: Column) -> Column:
     """Struct (total_issues, errors, warnings, score, grade, overall): penalties by level off 100; overall is 0.7 of that and
     0.3 of completeness, or the score alone if no field was found."""
-    count = lambda level: F.size(F.filter(found_issues, lambda i: i["level"] == level))
-    score = F.greatest(F.lit(0), F.lit(100) - reduce(lambda a, b: a + b, (count(level) * p for level, p in PENALTIES.items())))
-    overall = F.when(summary["total_fields"] > 0, score * 0.7 + summary["completeness_score"] * 100 * 0.3).otherwise(score.cast("double"))
-    return F.struct(F.size(found_issues).alias("total_issues"), count("error").alias("errors"), count("warning").alias("warnings"), score.alias("score"), grade(score).alias("grade"), overall.alias("overall"))
+
+    def of(x):
+        count = lambda level: F.size(F.filter(x["issues"], lambda i: i["level"] == level))
+        lost = reduce(lambda a, b: a + b, (count(level) * p for level, p in PENALTIES.items()))
+
+        def marked(score):
+            overall = F.when(x["summary"]["total_fields"] > 0, score * 0.7 + x["summary"]["completeness_score"] * 100 * 0.3).otherwise(score.cast("double"))
+            return F.struct(F.size(x["issues"]).alias("total_issues"), count("error").alias("errors"), count("warning").alias("warnings"), score.alias("score"), grade(score).alias("grade"), overall.alias("overall"))
+
+        return let(F.greatest(F.lit(0), F.lit(100) - lost), marked)
+
+    return let(F.struct(found_issues.alias("issues"), summary.alias("summary")), of)
 
 
 def card_errors(card: Column) -> Column:
@@ -282,7 +306,7 @@ def card_errors(card: Column) -> Column:
     none = F.array().cast("array<string>")
     lone = lambda when, said: F.when(F.coalesce(when, F.lit(False)), F.lit(said) if isinstance(said, str) else said)
     listed = lambda *c: F.array_compact(F.array(*c))
-    known = lambda x: x.isNotNull() & (kind_of(x) != "null")
+    known = lambda x: text_of(x).isNotNull()
     number = lambda x: F.when(known(x), number_of(x))
 
     def arm(e):
