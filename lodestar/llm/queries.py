@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver's tables, with production parameters."""
+"""The operators as queries over the driver's tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import hamming_topk, hpylm, langid, mixing, near_dups, packing, quality_cnn, token_counts, unit_dedup, weak_rules
+from lodestar.llm import filter_audit, hamming_topk, hpylm, langid, mixing, near_dups, packing, quality_cnn, token_counts, unit_dedup, weak_rules
 from lodestar.llm.common import read
 
 
@@ -62,7 +62,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing, op11_filter_audit)}
 WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 #: All pairs by brute force.  The others can't be told in SQL, or not fast enough on whole tables, and are
 #: tested against plain versions.
@@ -81,4 +86,15 @@ ORACLES: dict[str, str] = {
         c(node, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.node),
         m AS (SELECT node, min(root) AS component_id FROM c GROUP BY node)
         SELECT doc_id, len(g) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN m ON node = doc_id""",
+    "op11_filter_audit": r"""
+        WITH l AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic FROM labels GROUP BY doc_id),
+        d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS low FROM d),
+        f AS (SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > low, FALSE)] AS fails FROM w LEFT JOIN l USING (doc_id)),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a JOIN x b ON b.x <> a.x JOIN x c ON c.x NOT IN (a.x, b.x) JOIN x d ON d.x NOT IN (a.x, b.x, c.x) JOIN x e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+        s AS (SELECT filter_order, CAST(step AS INT) AS step, filter_order[step] AS letter, list_transform(range(1, step), lambda k: ascii(filter_order[k]) - 64) AS earlier FROM o, range(1, 6) r(step)),
+        r AS (SELECT part, filter_order, step, letter, good, toxic, fails[ascii(letter) - 64] AS here, list_bool_or(list_prepend(FALSE, list_transform(earlier, lambda k: fails[k]))) AS gone, len(list_filter(fails, lambda v: v)) AS n_fails FROM f, s),
+        g AS (SELECT part, filter_order, step, letter, count(*) FILTER (NOT here AND NOT gone) AS kept, count(*) FILTER (here AND NOT gone) AS removed, count(*) FILTER (here AND gone) AS redundant, count(*) FILTER (here AND n_fails = 1) AS unique_fails, count(*) FILTER (here AND NOT gone AND good) AS good_lost, count(*) FILTER (here AND NOT gone AND toxic) AS toxic_lost FROM r GROUP BY ALL)
+        SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM g""",
 }
