@@ -8,12 +8,13 @@ transform is its own inverse but for the factor 32, so the counts are exact.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import permutations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import WHITE, WORD_BREAK
+from lodestar.llm.common import WHITE
 
 FILTERS = "ABCDE"
 #: The bit of the filter that asks for the whole table: an equal text of a smaller id.
@@ -23,21 +24,17 @@ N_MASKS = 1 << len(FILTERS)
 
 def failures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang") -> DataFrame:
     """_id, part, digest (SHA-256 of the text) and mask (filters A to D that the whole text fails, as bits)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    trimmed = F.btrim(text, F.lit(WHITE))
-    one = df.select(
-        F.col(id_col).alias("_id"),
-        F.coalesce(F.col(part_col), F.lit("")).alias("part"),
-        text.alias("_t"),
-        F.when(trimmed != "", F.split(trimmed, WORD_BREAK)).otherwise(F.expr("array()").cast("array<string>")).alias("_w"),
-    )
-    two = one.select("_id", "part", "_t", F.size("_w").alias("_n"), F.size(F.array_distinct("_w")).alias("_distinct"))
+    text = blanked = F.coalesce(F.col(text_col), F.lit(""))
+    for c in WHITE[1:]:
+        blanked = F.replace(blanked, F.lit(c), F.lit(" "))
+    one = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(part_col), F.lit("")).alias("part"), text.alias("_t"), F.split(blanked, " ").alias("_w"))
+    two = one.select("_id", "part", "_t", F.size(F.array_remove("_w", "")).alias("_n"), F.size(F.array_remove(F.array_distinct("_w"), "")).alias("_distinct"))
     capitals = F.length(F.regexp_replace("_t", "[^A-Z]+", ""))
     failed = (
         F.col("_n") < 200,
         F.lit(100) * F.col("_distinct") < F.lit(50) * F.col("_n"),
         F.lit(100) * capitals > F.lit(3) * F.length("_t"),
-        F.col("_t").rlike("[#$%&*|]"),
+        reduce(Column.__or__, (F.col("_t").contains(c) for c in "#$%&*|")),
     )
     mask = sum((F.when(c, 1 << k).otherwise(0) for k, c in enumerate(failed)), F.lit(0))
     return two.select("_id", "part", F.unhex(F.sha2("_t", 256)).alias("digest"), mask.alias("mask"))
@@ -95,18 +92,18 @@ def audit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     found = cells(parity_sums(masks(df, labels, id_col, text_col, part_col, label_id)))
     orders = F.split(F.lit(" ".join("".join(p) for p in permutations(FILTERS))), " ")
-    steps = found.select("part", "cells", F.explode(orders).alias("filter_order")).select("*", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))).alias("step"))
-    bit_at = lambda k: F.element_at(F.array(*(F.lit(1 << i) for i in range(len(FILTERS)))), F.instr(F.lit(FILTERS), F.substring("filter_order", k, 1)))
-    own = bit_at(F.col("step"))
-    earlier = F.aggregate(F.sequence(F.lit(1), F.lit(len(FILTERS))), F.lit(0), lambda a, k: a + F.when(k < F.col("step"), bit_at(k)).otherwise(0))
-    rows = steps.withColumn("_own", own).withColumn("_before", earlier)
+    bit_at = lambda k: F.call_function("shiftleft", F.lit(1), F.instr(F.lit(FILTERS), F.substring("filter_order", k, 1)) - 1)
+    every = F.sequence(F.lit(1), F.lit(len(FILTERS)))
+    earlier = lambda step: F.aggregate(every, F.lit(0), lambda a, k: a + F.when(k < step, bit_at(k)).otherwise(0))
+    steps = F.transform(every, lambda k: F.struct(k.alias("step"), bit_at(k).alias("own"), earlier(k).alias("before")))
+    rows = found.select("part", "cells", F.explode(orders).alias("filter_order")).select("part", "cells", "filter_order", F.explode(steps).alias("s")).select("*", "s.*")
 
     def count(keep, what: str = "n", weight=lambda m: F.lit(1)) -> Column:
         chosen = F.filter("cells", lambda c: keep(c["mask"]))
         return F.aggregate(chosen, F.lit(0).cast("long"), lambda a, c: a + c[what] * weight(c["mask"]))
 
-    fails = lambda m: m.bitwiseAND(F.col("_own")) != 0
-    gone = lambda m: m.bitwiseAND(F.col("_before")) != 0
+    fails = lambda m: m.bitwiseAND(F.col("own")) != 0
+    gone = lambda m: m.bitwiseAND(F.col("before")) != 0
     here = lambda m: fails(m) & ~gone(m)
     # in each order one of a document's failures removes it, each of them equally often
     share = lambda m: F.floor(F.lit(120) / F.bit_count(m))
@@ -117,7 +114,7 @@ def audit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         count(lambda m: ~fails(m) & ~gone(m)).alias("kept"),
         count(here).alias("removed"),
         count(lambda m: fails(m) & gone(m)).alias("redundant"),
-        count(lambda m: m == F.col("_own")).alias("unique_fails"),
+        count(lambda m: m == F.col("own")).alias("unique_fails"),
         count(here, "good").alias("good_lost"),
         count(here, "toxic").alias("toxic_lost"),
         count(fails, weight=share).alias("shapley"),
