@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import filter_audit, hamming_topk, hpylm, langid, mixing, near_dups, packing, quality_cnn, token_counts, unit_dedup, weak_rules
+from lodestar.llm import filter_audit, hamming_topk, hpylm, langid, mixing, near_dups, packing, prefix_trie, quality_cnn, token_counts, unit_dedup, weak_rules
 from lodestar.llm.common import read
 
 
@@ -67,7 +67,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing, op11_filter_audit)}
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256: a row per node."""
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations")).drop("position", "end_position")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing, op11_filter_audit, op12_prefix_trie)}
 WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 #: All pairs by brute force.  The others can't be told in SQL, or not fast enough on whole tables, and are
 #: tested against plain versions.
@@ -97,4 +102,17 @@ ORACLES: dict[str, str] = {
         r AS (SELECT part, filter_order, step, letter, good, toxic, fails[ascii(letter) - 64] AS here, list_bool_or(list_prepend(FALSE, list_transform(earlier, lambda k: fails[k]))) AS gone, len(list_filter(fails, lambda v: v)) AS n_fails FROM f, s),
         g AS (SELECT part, filter_order, step, letter, count(*) FILTER (NOT here AND NOT gone) AS kept, count(*) FILTER (here AND NOT gone) AS removed, count(*) FILTER (here AND gone) AS redundant, count(*) FILTER (here AND n_fails = 1) AS unique_fails, count(*) FILTER (here AND NOT gone AND good) AS good_lost, count(*) FILTER (here AND NOT gone AND toxic) AS toxic_lost FROM r GROUP BY ALL)
         SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM g""",
+    "op12_prefix_trie": """
+        WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+        l AS (SELECT c, list(struct_pack(m := md5(concat(length(r), ':', r, t)), n := length(t)) ORDER BY turn NULLS FIRST, r, t) AS own FROM t GROUP BY c),
+        h AS (SELECT *, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(str_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))), lambda crc, d: list_reduce(list_prepend(xor(crc, d), list_transform(range(8), lambda i: CAST(i AS BIGINT))), lambda x, i: xor(x >> 1, (x & 1) * CAST(3988292384 AS BIGINT)))), CAST(4294967295 AS BIGINT)) % 6 AS INT) AS h FROM l),
+        b AS (SELECT h.c, list_concat(coalesce(l.own[1 : h], []), h.own[h + 1 :]) AS s FROM h LEFT JOIN l ON l.c = h.c - h.c % 100),
+        p AS (SELECT c, s, d, list_transform(s[1 : d], lambda x: x.m) AS path, len(s) = d AS ends FROM b, LATERAL (SELECT unnest(range(0, len(s) + 1)) AS d)),
+        n AS (SELECT d, array_to_string(path, ',') AS id, any_value(path) AS path, count(*) AS n_convs, min(c) AS conv_id, any_value(CASE WHEN d > 0 THEN s[d].n ELSE 0 END) AS chars, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends) AS members FROM p GROUP BY d, id),
+        q AS (SELECT *, CASE WHEN d > 0 THEN array_to_string(path[1 : d - 1], ',') END AS up FROM n),
+        k AS (SELECT up, count(*) AS n_children FROM q WHERE d > 0 GROUP BY up),
+        z AS (SELECT q.*, coalesce(n_children, 0) AS n_children FROM q LEFT JOIN k ON k.up = q.id),
+        a AS (SELECT array_to_string(path[1 : e], ',') AS id, n_children = 0 AS leaf, (n_convs - 1) * chars AS saved FROM z, LATERAL (SELECT unnest(range(0, d + 1)) AS e)),
+        g AS (SELECT id, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM a GROUP BY id)
+        SELECT z.conv_id, z.d AS depth, u.conv_id AS parent_conv_id, z.n_convs, z.n_children, n_leaves, saved_tokens, sha256(coalesce(z.members, '')) AS ends_sha256 FROM z JOIN g USING (id) LEFT JOIN n u ON u.id = z.up""",
 }
