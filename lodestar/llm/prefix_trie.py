@@ -68,15 +68,16 @@ def rebuilt(turns: DataFrame, most: int = 6, group: int = 100) -> tuple[DataFram
     """
     convs = turns.groupBy("conv").agg(F.min("place").alias("start"), F.count("*").alias("own"))
     convs = convs.select("*", (F.col("conv") - F.col("conv") % group).alias("base"), (F.crc32(F.col("conv").cast("string")) % most).cast("int").alias("h"))
-    placed = turns.join(convs.select("conv", "start", "h"), "conv").withColumn("at", F.col("place") - F.col("start") + 1)
-    heads = placed.where((F.col("conv") % group == 0) & (F.col("at") < most)).groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("at", "digest", "chars"))).alias("head"))
+    at = (F.col("place") - F.col("start") + 1).alias("at")
+    bases = turns.where(F.col("conv") % group == 0).join(convs.select("conv", "start"), "conv").select("conv", at, "digest", "chars").where(F.col("at") < most)
+    heads = bases.groupBy(F.col("conv").alias("base")).agg(F.array_sort(F.collect_list(F.struct("at", "digest", "chars"))).alias("head"))  # most - 1 of them
     head = F.slice(F.coalesce("head", F.expr("array()")), F.lit(1), F.col("h"))
-    info = convs.join(heads.withColumnRenamed("conv", "base"), "base", "left").select("conv", "own", "h", head.alias("head"))
-    info = info.select("conv", "h", "head", F.size("head").alias("k"), (F.size("head") + F.greatest(F.lit(0), F.col("own") - F.col("h"))).alias("length"))
+    info = convs.join(heads, "base", "left").select("conv", "start", "own", "h", head.alias("head"))
+    info = settle(info.select("conv", "start", "h", "head", (F.size("head") + F.greatest(F.lit(0), F.col("own") - F.col("h"))).alias("length")))
     given = info.select("conv", "length", F.explode("head").alias("t")).select("conv", F.col("t.at").alias("depth"), "t.digest", "t.chars", (F.col("t.at") == F.col("length")).alias("last"))
-    depth = F.col("at") - F.col("h") + F.col("k")
-    kept = placed.where(F.col("at") > F.col("h")).drop("h").join(info.select("conv", "h", "k", "length"), "conv")
-    kept = kept.select("conv", depth.alias("depth"), "digest", "chars", (depth == F.col("length")).alias("last"))
+    own = turns.join(info, "conv").select("conv", "h", "head", "length", "digest", "chars", at).where(F.col("at") > F.col("h"))
+    depth = F.col("at") - F.col("h") + F.size("head")
+    kept = own.select("conv", depth.alias("depth"), "digest", "chars", (depth == F.col("length")).alias("last"))
     return given.unionByName(kept), info.where("length = 0").select("conv")
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import filter_audit, hamming_topk, hpylm, langid, mixing, near_dups, packing, prefix_trie, quality_cnn, token_counts, unit_dedup, weak_rules
+from lodestar.llm import filter_audit, hamming_topk, hpylm, langid, mixing, near_dups, packing, prefix_trie, quality_cnn, secret_scan, token_counts, unit_dedup, weak_rules
 from lodestar.llm.common import read
 
 
@@ -72,7 +72,16 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations")).drop("position", "end_position")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing, op11_filter_audit, op12_prefix_trie)}
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_novel."""
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    base = secret_scan.as_text(F.filter("spans", lambda s: s["kind"] != "novel"))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secret_scan.as_text(F.col("spans")).alias("spans"), F.size(of("novel")).cast("long").alias("n_novel"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_classifier, op3_substring_dedup, op4_weak_rules, op5_packing, op6_lm_scoring, op7_exact_topk, op8_near_dups, op9_language_id, op10_source_mixing, op11_filter_audit, op12_prefix_trie, op13_secret_scan)}
 WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 #: All pairs by brute force.  The others can't be told in SQL, or not fast enough on whole tables, and are
 #: tested against plain versions.
