@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.running import running_sums
+
 FOREVER = "9999-12-31"
 
 
@@ -85,6 +87,6 @@ def storage_statistics(counted: DataFrame) -> DataFrame:
 
 
 def evictions(objects: DataFrame, by: str, capacity: int) -> DataFrame:
-    """Objects to drop per `by`, oldest first, until what stays fits."""
-    w = Window.partitionBy(by).orderBy(F.desc("last_accessed"), F.desc("object_id")).rowsBetween(Window.unboundedPreceding, 0)
-    return objects.withColumn("_kept", F.sum("size_bytes").over(w)).where(F.col("_kept") > capacity).drop("_kept")
+    """Objects to drop per `by`, oldest first, until what stays fits; no task holds all objects of one."""
+    kept = running_sums(objects, [by], [F.desc("last_accessed"), F.desc("object_id")], {"_kept": F.col("size_bytes")})
+    return kept.where(F.col("_kept") > capacity).drop("_kept")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.json_trees import canonical, shown
+
 # Fields whose change always matters, and weights by severity.
 HIGH_IMPACT = ("primary_endpoint_text", "sample_size", "analysis_plan", "arms", "primary_result", "subgroups", "inclusion_criteria", "exclusion_criteria")
 SEVERE = ("primary_endpoint_text", "sample_size", "analysis_plan")
@@ -58,15 +60,45 @@ def change_score(changes: Column, weights: dict[str, float] | None = None) -> Co
 
 
 def json_diff(old: Column, new: Column) -> Column:
-    """Differences of two JSON objects by top-level key: array of (key, type, old, new), keys sorted."""
-    to_map = lambda c: F.from_json(c, "map<string,string>")
-    a, b = to_map(F.coalesce(old, F.lit("{}"))), to_map(F.coalesce(new, F.lit("{}")))
+    """Differences of two JSON objects by top-level key: array of (key, type, old, new), keys sorted.
+
+    Values are compared in whole: objects whatever the order of their keys, lists in order, and the text "5" is not
+    the number 5.  A text that is no object counts as an empty one.
+    """
+    to_map = lambda c: F.coalesce(F.try_parse_json(c).try_cast("map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    a, b = to_map(old), to_map(new)
     keys = F.array_sort(F.array_union(F.map_keys(a), F.map_keys(b)))
-    item = lambda k: F.struct(k.alias("key"), F.when(~F.map_contains_key(a, k), "added").when(~F.map_contains_key(b, k), "removed").otherwise("modified").alias("type"), a[k].alias("old"), b[k].alias("new"))
-    same = lambda k: F.map_contains_key(a, k) & F.map_contains_key(b, k) & a[k].eqNullSafe(b[k])
+    item = lambda k: F.struct(k.alias("key"), F.when(~F.map_contains_key(a, k), "added").when(~F.map_contains_key(b, k), "removed").otherwise("modified").alias("type"), shown(a[k]).alias("old"), shown(b[k]).alias("new"))
+    same = lambda k: F.map_contains_key(a, k) & F.map_contains_key(b, k) & canonical(a[k]).eqNullSafe(canonical(b[k]))
     return F.transform(F.filter(keys, lambda k: ~same(k)), item)
 
 
+CRITICAL_PLAN = ("alpha", "one_sided", "planned_interims")
+
+
+def plan_change(old: Column, new: Column) -> Column:
+    """Struct (material, severity, critical) of two analysis plans (JSON objects) that differ, else null; material where
+    a critical field that both have differs."""
+    diff = json_diff(old, new)
+    both = _is_object(old) & _is_object(new)
+    critical = F.transform(F.filter(diff, lambda d: d["key"].isin(*CRITICAL_PLAN) & (d["type"] == "modified")), lambda d: d["key"])
+    material = F.size(critical) > 0
+    return F.when(both & (F.size(diff) > 0), F.struct(material.alias("material"), F.when(material, "H").otherwise("M").alias("severity"), critical.alias("critical")))
+
+
+def arms_change(old: Column, new: Column) -> Column:
+    """Struct (material, severity, arm_count_change) of two sets of arms (JSON objects) that differ, else null; material
+    where their numbers differ."""
+    count = lambda c: F.size(F.json_object_keys(c))
+    more = count(new) - count(old)
+    both = _is_object(old) & _is_object(new)
+    return F.when(both & (F.size(json_diff(old, new)) > 0), F.struct((more != 0).alias("material"), F.when(more != 0, "H").otherwise("M").alias("severity"), more.alias("arm_count_change")))
+
+
+def _is_object(c: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT"), F.lit(False))
+
+
 def array_changes(old: Column, new: Column) -> Column:
     """(added, removed) members."""
     none = F.array().cast("array<string>")

@@ -61,7 +61,7 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame
 
 def select(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
     """An adapter's rows; its tables are read lazily and only their used columns."""
-    text = sql
+    text = sql.replace("{", "{{").replace("}", "}}")  # the formatter's own
     for n in names:
         text = _word(text, n)
     return spark.sql(text, **tables(spark, sf_dir, *names))
