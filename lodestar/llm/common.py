@@ -52,6 +52,13 @@ def worker_cache(owner: str) -> dict:
     return held[1]
 
 
+def spread(text: Column, most: int, pieces: int = 16) -> Column:
+    """The whole text where it has `most` characters at most, else as many in pieces from all over it, evenly apart."""
+    size, own = F.length(text), most // pieces
+    at = [F.substring(text, (F.lit(1) + F.floor((size - own) * F.lit(k / (pieces - 1)))).cast("int"), F.lit(own)) for k in range(pieces)]
+    return F.when(size <= most, text).otherwise(F.concat_ws(" ", *at))
+
+
 def is_small(df: DataFrame, rows: int) -> bool:
     """Whether df has at most that many rows; reads no more than rows + 1 of them."""
     return df.limit(rows + 1).count() <= rows

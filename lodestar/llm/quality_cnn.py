@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import id_bucket, settle
+from lodestar.llm.common import id_bucket, settle, spread
 
 WIDTH, STRIDE, HALF, GRAM, LAGS, PAD = 8, 4, 128, 6, 40, 256
 #: Bytes that are convolved at once: a bound on memory.
@@ -36,13 +36,14 @@ def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def stutter(buf: np.ndarray) -> np.ndarray:
+    """Whether the bytes from a place on were met shortly before; never in the padding, which would tell of neighbours."""
     gram = np.zeros(len(buf), dtype=np.uint64)
     for k in range(GRAM):
         gram[: len(buf) - k] = gram[: len(buf) - k] * np.uint64(257) + buf[k:].astype(np.uint64)
     met = np.zeros(len(buf), dtype=bool)
     for lag in range(2, LAGS + 1):
         met[lag:] |= gram[lag:] == gram[:-lag]
-    return met
+    return met & (buf != PAD)
 
 
 class Network:
@@ -152,16 +153,25 @@ def train(texts: list[bytes], labels: np.ndarray, *, steps: int = 260, batch: in
     return net
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, folds: int = 5, texts_per_label: int = 700, most_chars: int = 20_000) -> Network:
-    """Fit on whole texts: at most texts_per_label rows of each label (the documented bound of the sample), those
-    with the smallest hashes among the documents that have a text of most_chars at most and whose
-    crc32(id as text) modulo folds is not 0.  Ids are picked first, without texts."""
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, folds: int = 5, texts_per_label: int = 700, chars_per_label: int = 4_000_000) -> Network:
+    """Fit on whole texts of any length: rows of each label in the order of a hash, until there are texts_per_label of
+    them or they hold chars_per_label characters together (the documented bounds of the sample); only a text that
+    alone has more than that is taken in pieces from all over it.  crc32(id as text) modulo folds of a row is
+    not 0.  Ids are picked first, without texts."""
     own = labels.select(F.col(id_col).alias("_i"), F.col(label_col).cast("int").alias("_y")).where(F.col("_i").isNotNull() & F.col("_y").isin(0, 1) & (id_bucket("_i", folds) != 0)).distinct()
-    texts = df.select(F.col(id_col).alias("_i"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).where(F.length("_t") <= most_chars)
-    there = settle(own.join(texts.select("_i"), "_i", "left_semi"))
-    picked = [r for y in (0, 1) for r in there.where(F.col("_y") == y).orderBy(F.xxhash64("_i"), "_i").limit(texts_per_label).collect()]
+    texts = df.select(F.col(id_col).alias("_i"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    sizes = texts.groupBy("_i").agg(F.sum(F.length("_t")).alias("_c"))
+    there = settle(own.join(sizes, "_i"))
+    picked = []
+    for y in (0, 1):
+        held = 0
+        for r in there.where(F.col("_y") == y).orderBy(F.xxhash64("_i"), "_i").limit(texts_per_label).collect():
+            if held >= chars_per_label:
+                break
+            held += r["_c"]
+            picked.append((r["_i"], r["_y"]))
     ids = df.sparkSession.createDataFrame(picked, own.schema)
-    rows = texts.join(F.broadcast(ids), "_i").select("_i", "_y", "_t").collect()
+    rows = texts.join(F.broadcast(ids), "_i").select("_i", "_y", spread(F.col("_t"), chars_per_label).alias("_t")).collect()
     rows.sort(key=lambda r: (r["_i"], r["_y"], r["_t"]))
     return train([r["_t"].encode() for r in rows], np.array([r["_y"] for r in rows], dtype=np.int64))
 
