@@ -17,13 +17,16 @@ WEIGHTS = {"jw_primary": 2.8, "token_set_ratio": 2.4, "acronym_exact": 1.9, "dom
 INTERCEPT, TAU_ACCEPT, REVIEW_LOW, MIN_MARGIN = -5.0, 0.90, 0.60, 0.05
 # Order of exchanges when a company has several listings.
 EXCHANGES = (("NASDAQ", "XNAS"), ("NYSE", "XNYS"), ("NYSE AMERICAN", "AMEX", "XASE"), ("NYSE ARCA", "ARCX"), ("OTCQX",), ("OTCQB",))
-#: Up to so many rows a lookup side is broadcast.
-SMALL_ROWS = 200_000
+#: Patterns that texts are tried against, at most.
+PATTERNS = 10_000
 
 
-def small_or_plain(df: DataFrame) -> DataFrame:
-    """df for broadcast if it's small; the check reads no more than the limit and one row."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+def patterns(df: DataFrame) -> DataFrame:
+    """A table of patterns, for broadcast: a text meets a pattern by trying it, for which there is no key to join on.  More
+    than PATTERNS of them are an error, not a plan that doesn't end."""
+    if df.limit(PATTERNS + 1).count() > PATTERNS:
+        raise ValueError(f"more than {PATTERNS} patterns")
+    return F.broadcast(df)
 
 
 def unique_hit(sponsors: DataFrame, names: DataFrame, step: str) -> DataFrame:
@@ -64,18 +67,18 @@ def deterministic(sponsors: DataFrame, companies: DataFrame, aliases: DataFrame)
 def by_rules(sponsors: DataFrame, rules: DataFrame, descending: bool = False) -> DataFrame:
     """First regular expression that matches the raw or normalised text, by priority then rule id.
 
-    rules(rule_id, pattern, company_id, priority); the rules are a small table and are broadcast.
+    rules(rule_id, pattern, company_id, priority); the rules are at most PATTERNS and are broadcast.
     """
     s = sponsors.select("sponsor").where("sponsor is not null").distinct().withColumn("norm", T.norm_name(F.col("sponsor")))
     hit = F.expr("sponsor rlike concat('(?i)', pattern) or norm rlike concat('(?i)', pattern)")
-    met = s.join(small_or_plain(rules), hit)
+    met = s.join(patterns(rules), hit)
     rank = F.struct((-F.col("priority") if descending else F.col("priority")).alias("p"), "rule_id")
     return met.groupBy("sponsor").agg(F.min_by(F.struct("company_id", "rule_id"), rank).alias("r")).select("sponsor", "r.company_id", "r.rule_id")
 
 
 def not_ignored(sponsors: DataFrame, ignore: DataFrame) -> DataFrame:
     """Sponsors that no ignore pattern matches."""
-    return sponsors.join(small_or_plain(ignore.select("pattern")), F.expr("sponsor rlike concat('(?i)', pattern)"), "left_anti")
+    return sponsors.join(patterns(ignore.select("pattern")), F.expr("sponsor rlike concat('(?i)', pattern)"), "left_anti")
 
 
 def candidates(sponsors: DataFrame, names: DataFrame, k: int = 10, least: float = 0.3) -> DataFrame:
