@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import fit, gazetteer, json_trees, running, securities, trial_changes, versions
+from lodestar.operators import doc_store, fit, gazetteer, json_trees, running, securities, trial_changes, versions
 from lodestar.plans import adapters as A
 
 QUERIES: dict = {}
@@ -265,3 +265,36 @@ STUDY = """SELECT o_orderkey AS id, '{"results": {"z": "first ' || o_orderstatus
 @query(f"SELECT id, 'second ' || CASE WHEN id % 3 = 0 THEN 'tail ' || CAST(o_custkey AS VARCHAR) || ' ' ELSE '' END || 'first ' || o_orderstatus || ' x ' || o_orderpriority AS text FROM ({STUDY}) s")
 def xx3_section_texts(spark, sf_dir):
     return json_trees.section_texts(A.select(spark, sf_dir, STUDY, "orders"), "id", "body")
+
+
+# --- fetched pages ------------------------------------------------------------------------------------------
+
+_HTML = "'<html><body><script>x</script><p>Trial NCT' || lpad(CAST(o_custkey AS VARCHAR(20)), 8, '0') || ' of AB-' || CAST(100 + o_custkey % 50 AS VARCHAR(20)) || ' see 10.1000/x' || CAST(o_custkey AS VARCHAR(20)) || '</p><table><tr><th>Name</th><th>N</th></tr><tr><td>v ' || CAST(o_custkey % 3 AS VARCHAR(20)) || '</td></tr></table></body></html>'"
+FETCHED = f"SELECT 'https://x.org/' || CAST(o_orderkey AS VARCHAR(20)) AS url, CASE WHEN o_orderkey % 17 <> 0 THEN {_HTML} END AS content, CASE WHEN o_custkey % 5 = 0 THEN 'application/pdf' ELSE 'text/html; charset=utf-8' END AS content_type, 'PR' AS source_type, 'X' AS publisher, CAST(NULL AS TIMESTAMP) AS published_at, CAST(o_orderdate AS TIMESTAMP) AS fetched_at FROM orders"
+_DOCS = f"d AS (SELECT sha256(content) AS doc_id, any_value(content) AS content, arg_min(url, (fetched_at, url)) AS url, any_value(content_type) AS content_type FROM ({FETCHED}) f WHERE content IS NOT NULL GROUP BY 1), h AS (SELECT *, regexp_extract(content, 'NCT[0-9]+') AS nct, regexp_extract(content, 'AB-[0-9]+') AS code FROM d WHERE content_type LIKE 'text/html%')"
+
+
+def fetched(spark, sf_dir):
+    return doc_store.parse(A.select(spark, sf_dir, FETCHED, "orders"))
+
+
+@query(f"WITH {_DOCS} SELECT d.doc_id, url AS source_url, content_type, coalesce(length('Trial ' || nct || ' of ' || code || ' see 10.1000/x' || CAST(CAST(substr(nct, 4) AS INT) AS VARCHAR) || ' NameN v 0'), 0) AS char_count FROM d LEFT JOIN h USING (doc_id)".replace("SELECT d.doc_id, url", "SELECT d.doc_id, d.url").replace(", content_type, coalesce", ", d.content_type, coalesce"))
+def xx11_stored_pages(spark, sf_dir):
+    t = fetched(spark, sf_dir)
+    return t["documents"].select("doc_id", "source_url", "content_type").join(t["pages"].select("doc_id", F.col("char_count").cast("long").alias("char_count")), "doc_id")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, 'nct' AS ent_type, nct AS value_norm, 6 AS char_start, 17 AS char_end FROM h UNION ALL SELECT doc_id, 'code', code, 21, 27 FROM h")
+def xx11_stored_entities(spark, sf_dir):
+    return fetched(spark, sf_dir)["entities"].select("doc_id", "ent_type", "value_norm", "char_start", "char_end")
+
+
+@query(f"""WITH {_DOCS} SELECT h.doc_id, 0 AS table_idx, '[["Name","N"],["v ' || CAST(CAST(substr(nct, 4) AS INT) % 3 AS VARCHAR) || '"]]' AS table_jsonb, '10.1000/x' || CAST(CAST(substr(nct, 4) AS INT) AS VARCHAR) AS doi FROM h""")
+def xx11_tables_and_citations(spark, sf_dir):
+    t = fetched(spark, sf_dir)
+    return t["tables"].select("doc_id", "table_idx", "table_jsonb").join(t["citations"].select("doc_id", "doi"), "doc_id")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, nct AS nct_id, code AS asset, 'nct_near_asset' AS link_type, 1e0 AS confidence FROM h UNION ALL SELECT doc_id, NULL, code, 'code_in_text', 9e-1 FROM h")
+def xx10_document_links(spark, sf_dir):
+    return fetched(spark, sf_dir)["links"]

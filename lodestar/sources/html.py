@@ -75,3 +75,44 @@ def tables(html: str) -> list[list[str]]:
 
 def links(html: str) -> list[str]:
     return _read(html).links
+
+
+class _Grids(HTMLParser):
+    """Tables as rows of cells; a table within a cell is a table of its own, after the one that holds it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.done, self.open = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.done.append([])
+            self.open.append((self.done[-1], [False]))
+        elif self.open:
+            rows, cell = self.open[-1]
+            if tag == "tr":
+                rows.append([])
+                cell[0] = False
+            elif tag in ("td", "th"):
+                if not rows:
+                    rows.append([])
+                rows[-1].append("")
+                cell[0] = True
+
+    def handle_endtag(self, tag):
+        if tag == "table" and self.open:
+            self.open.pop()
+        elif tag in ("td", "th", "tr") and self.open:
+            self.open[-1][1][0] = False
+
+    def handle_data(self, data):
+        if self.open and self.open[-1][1][0]:
+            self.open[-1][0][-1][-1] += data
+
+
+def table_grids(html: str) -> list[list[list[str]]]:
+    """Each table of a page as rows of cells, white space within a cell made single blanks; rows without cells are left out."""
+    reader = _Grids()
+    reader.feed(html)
+    reader.close()
+    return [[[" ".join(c.split()) for c in row] for row in table if row] for table in reader.done]
