@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,13 +15,33 @@ ACADEMIC = ("university", "hospital", "institute", "foundation", "college", "med
 ACRONYM_STOP = ("the", "and", "&", "of", "for", "at", "to", "in")
 # Tokens too common in company names to be strong.
 WEAK_TOKENS = ("bio", "biosciences", "biotech", "pharma", "pharmaceutical", "pharmaceuticals", "therapeutic", "therapeutics", "inc", "corp", "ltd", "plc", "llc", "company", "holding", "holdings")
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+
+
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility form (NFKD) has one ASCII character, and those up to U+218F or among the Latin
+    ligatures where it has several."""
+    one, many = {}, {}
+    for c in map(chr, range(0x80, 0x10000)):
+        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+        if len(plain) == 1:
+            one[c] = plain
+        elif plain and (c < "\u2190" or "\ufb00" <= c <= "\ufb06"):
+            many[c] = plain
+    return one, many
+
+
+_ONE, _MANY = _folds()
 
 
 def ascii_fold(s: Column) -> Column:
-    """Accents off for Latin letters, all else beyond ASCII dropped."""
-    return F.regexp_replace(F.translate(s, ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    """The ASCII part of the compatibility form: accents off, ligatures and wide letters spelled out, all else beyond
+    ASCII dropped."""
+    table = F.create_map(*(F.lit(x) for pair in _MANY.items() for x in pair))
+    # split cuts characters beyond the first plane in two; they have no ASCII part in any case
+    plane = F.regexp_replace(s, r"[^\x{0}-\x{FFFF}]", "")
+    each = F.array_join(F.transform(F.split(plane, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    spelled = F.when(s.rlike(f"[{''.join(_MANY)}]"), each).otherwise(s)
+    return F.regexp_replace(F.translate(spelled, "".join(_ONE), "".join(_ONE.values())), r"[^\x00-\x7F]", "")
 
 
 def norm_name(s: Column) -> Column:

@@ -46,8 +46,11 @@ def valid_ranges(events: DataFrame, key: str, start: str) -> DataFrame:
 
 
 def close_ranges(ranges: DataFrame, key: str, closings: DataFrame) -> DataFrame:
-    """Active rows of closings(key, end) end there, and a row of zero length marks it."""
-    hit = ranges.join(closings.select(key, F.col("end").alias("_end")), key, "left")
+    """Active rows of closings(key, end) end at the first of these after they began, and a row of zero length marks it;
+    closings that find nothing open do nothing.  `securities.timeline` does this for whole logs of events."""
+    open_ = ranges.where(F.col("valid_to").isNull()).select(key, "valid_from")
+    ends = closings.select(key, F.col("end").alias("_end")).join(open_, key).where("_end > valid_from").groupBy(key).agg(F.min("_end").alias("_end"))
+    hit = ranges.join(ends, key, "left")
     closed = F.col("_end").isNotNull() & F.col("valid_to").isNull()
     out = hit.withColumn("status", F.when(closed, "delisted").otherwise(F.col("status"))).withColumn("valid_to", F.when(closed, F.col("_end")).otherwise(F.col("valid_to")))
     mark = hit.where(closed).withColumn("valid_from", F.col("_end")).withColumn("valid_to", F.col("_end")).withColumn("status", F.lit("delisted"))
