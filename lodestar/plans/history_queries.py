@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import doc_store, fit, gazetteer, json_trees, running, securities, trial_changes, versions
+from lodestar.operators import backtests, doc_store, fit, gazetteer, json_trees, running, securities, trial_changes, versions
 from lodestar.plans import adapters as A
 
 QUERIES: dict = {}
@@ -298,3 +298,53 @@ def xx11_tables_and_citations(spark, sf_dir):
 @query(f"WITH {_DOCS} SELECT doc_id, nct AS nct_id, code AS asset, 'nct_near_asset' AS link_type, 1e0 AS confidence FROM h UNION ALL SELECT doc_id, NULL, code, 'code_in_text', 9e-1 FROM h")
 def xx10_document_links(spark, sf_dir):
     return fetched(spark, sf_dir)["links"]
+
+
+# --- backtests and backfill -------------------------------------------------------------------------------------
+
+RANKED = "SELECT user_id AS trial_id, ts AS captured_at, event_id, CAST(floor(value * 100) AS BIGINT) % 100 / 1e2 AS p_fail FROM events WHERE event_id % 3 = 0"
+OUTCOMES = "SELECT DISTINCT user_id AS trial_id, user_id % 4 = 0 AS success FROM events WHERE user_id % 5 <> 0"
+_STATES = f"k AS ({RANKED}), days AS (SELECT CAST(DATE '2024-01-03' + CAST(7 * i AS INT) AS DATE) AS snapshot_date FROM range(0, 5) r(i)), st AS (SELECT snapshot_date, trial_id, arg_max(struct_pack(e := event_id, p := p_fail), struct_pack(c := captured_at, e := event_id, p := p_fail)) AS r FROM days JOIN k ON CAST(captured_at AS DATE) <= snapshot_date GROUP BY 1, 2)"
+
+
+def states(spark, sf_dir):
+    day = lambda d: F.lit(d).cast("date")
+    return backtests.snapshots(A.select(spark, sf_dir, RANKED, "events"), day("2024-01-03"), day("2024-02-05"), 7)
+
+
+@query(f"WITH {_STATES} SELECT snapshot_date, trial_id, r.e AS event_id, r.p AS p_fail FROM st")
+def bt1_snapshots(spark, sf_dir):
+    return states(spark, sf_dir).select("snapshot_date", "trial_id", "event_id", "p_fail")
+
+
+@query(
+    f"""WITH {_STATES}, o AS ({OUTCOMES}), j AS (SELECT snapshot_date, NOT coalesce(success, FALSE) AS failed, row_number() OVER (PARTITION BY snapshot_date ORDER BY r.p DESC, trial_id) AS rank FROM st LEFT JOIN o USING (trial_id)),
+  m AS (SELECT snapshot_date, k, count(*) AS n, count(*) FILTER (failed) AS f, count(*) FILTER (failed AND rank <= k) AS h FROM j, (VALUES (1), (3), (5), (10)) v(k) GROUP BY 1, 2)
+  SELECT snapshot_date, k, round(h / CAST(k AS DOUBLE), 9) AS precision, round(coalesce(h / nullif(CAST(f AS DOUBLE), 0), 0), 9) AS recall, round(coalesce(2e0 * h / nullif(k + f, 0), 0), 9) AS f1 FROM m WHERE k <= n"""
+)
+def bt1_precision_by_day(spark, sf_dir):
+    found = backtests.precision_by_day(states(spark, sf_dir), A.select(spark, sf_dir, OUTCOMES, "events"), F.col("p_fail"))
+    return found.select("snapshot_date", "k", *(F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")))
+
+
+RUNS = "SELECT 'p' || CAST(user_id % 60 AS VARCHAR(9)) AS pipeline_name, CAST(ts AS DATE) AS day, event_type <> 'error' AS success, ts AS start_time FROM events WHERE event_id % 5 = 0"
+
+
+@query(
+    f"""WITH r AS ({RUNS}), c AS (SELECT p.pipeline_name, CAST(DATE '2024-01-02' + CAST(i AS INT) AS DATE) AS day FROM (SELECT DISTINCT pipeline_name FROM r) p, range(0, 30) x(i)),
+  m AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM r WHERE success AND r.pipeline_name = c.pipeline_name AND r.day = c.day)), g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY pipeline_name ORDER BY day) AS INT) AS island FROM m)
+  SELECT pipeline_name, min(day) AS first_day, max(day) AS last_day, CAST(count(*) AS INT) AS days FROM g GROUP BY pipeline_name, island"""
+)
+def or1_missing_days(spark, sf_dir):
+    day = lambda d: F.lit(d).cast("date")
+    return backtests.missing_days(A.select(spark, sf_dir, RUNS, "events"), day("2024-01-02"), day("2024-01-31"))
+
+
+NEEDS = "SELECT DISTINCT 'p' || CAST(user_id % 60 AS VARCHAR(9)) AS pipeline_name, CASE WHEN user_id % 7 <> 0 THEN 'p' || CAST(user_id * 3 % 65 AS VARCHAR(9)) END AS needed FROM events"
+
+
+@query(f"WITH n AS ({NEEDS}), l AS (SELECT pipeline_name AS needed, max(start_time) AS last FROM ({RUNS}) r WHERE success GROUP BY 1), j AS (SELECT n.pipeline_name, n.needed, n.needed IS NULL OR coalesce(last >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 24 HOUR, FALSE) AS ok FROM n LEFT JOIN l USING (needed)) SELECT pipeline_name, bool_and(ok) AS ready, coalesce(string_agg(needed, ',' ORDER BY needed) FILTER (NOT ok), '') AS waits_for FROM j GROUP BY 1")
+def or1_ready(spark, sf_dir):
+    now = F.lit("2024-01-30 12:00:00").cast("timestamp")
+    found = backtests.ready(A.select(spark, sf_dir, RUNS, "events"), A.select(spark, sf_dir, NEEDS, "events"), now)
+    return found.select("pipeline_name", "ready", F.array_join("waits_for", ",").alias("waits_for"))
