@@ -107,10 +107,10 @@ def er7_decision(spark, sf_dir):
     return resolve.decide(scored, 0.3, 0.1, 0.01).withColumn("margin", F.round("margin", 6))
 
 
-EDGES = "SELECT 'R' || CAST(r_regionkey AS VARCHAR(20)) AS parent, 'N' || CAST(n_nationkey AS VARCHAR(20)) AS child FROM region JOIN nation ON n_regionkey = r_regionkey UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR(20)), 'C' || CAST(c_custkey AS VARCHAR(20)) FROM customer UNION ALL SELECT 'K' || CAST(p_partkey - 1 AS VARCHAR(20)), 'K' || CAST(p_partkey AS VARCHAR(20)) FROM part WHERE p_partkey BETWEEN 2 AND 90"
+EDGES = "SELECT 'R' || CAST(r_regionkey AS VARCHAR(20)) AS parent, 'N' || CAST(n_nationkey AS VARCHAR(20)) AS child FROM region JOIN nation ON n_regionkey = r_regionkey UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR(20)), 'C' || CAST(c_custkey AS VARCHAR(20)) FROM customer UNION ALL SELECT 'K' || CAST(p_partkey - 1 AS VARCHAR(20)), 'K' || CAST(p_partkey AS VARCHAR(20)) FROM part WHERE p_partkey >= 1"
 
 
-@query("SELECT 'N' || n_nationkey AS child, 'R' || n_regionkey AS top, 1 AS depth FROM nation UNION ALL SELECT 'C' || c_custkey, 'R' || n_regionkey, 2 FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'K' || p_partkey, 'K1', CAST(p_partkey - 1 AS INT) FROM part WHERE p_partkey BETWEEN 2 AND 90")
+@query("SELECT 'N' || n_nationkey AS child, 'R' || n_regionkey AS top, 1 AS depth FROM nation UNION ALL SELECT 'C' || c_custkey, 'R' || n_regionkey, 2 FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'K' || p_partkey, 'K0', CAST(p_partkey AS INT) FROM part WHERE p_partkey >= 1")
 def er17_roll_up(spark, sf_dir):
     return resolve.roll_up(A.select(spark, sf_dir, EDGES, "region", "nation", "customer", "part"))
 

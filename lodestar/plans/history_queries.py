@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import backtests, doc_store, fit, gazetteer, json_trees, running, securities, trial_changes, versions
+from lodestar.operators import backtests, doc_store, evaluation, fit, gazetteer, json_trees, running, securities, trial_changes, versions
 from lodestar.plans import adapters as A
 
 QUERIES: dict = {}
@@ -348,3 +348,20 @@ def or1_ready(spark, sf_dir):
     now = F.lit("2024-01-30 12:00:00").cast("timestamp")
     found = backtests.ready(A.select(spark, sf_dir, RUNS, "events"), A.select(spark, sf_dir, NEEDS, "events"), now)
     return found.select("pipeline_name", "ready", F.array_join("waits_for", ",").alias("waits_for"))
+
+
+# --- rankings -----------------------------------------------------------------------------------------------------
+
+CARDS = "SELECT l_orderkey AS study_id, l_linenumber AS line, CAST(floor(l_extendedprice) AS BIGINT) AS trial_id, CASE WHEN l_orderkey % 97 = 5 THEN 100 + l_orderkey ELSE l_partkey % 10 + 1 END AS base_rank, CAST(floor(l_extendedprice) AS BIGINT) % 101 AS percent FROM lineitem"
+_CARDS = f"SELECT study_id, trial_id, min(base_rank) AS base_rank, min(percent) AS percent FROM ({CARDS}) x GROUP BY 1, 2"
+JUDGED = f"SELECT study_id, trial_id, (study_id * 7 + trial_id) % 100 + 1 AS enhanced, 8e-1 AS confidence FROM ({_CARDS}) y WHERE study_id % 3 = 0"
+
+
+@query(
+    f"""WITH c AS ({_CARDS}), j AS ({JUDGED}), n AS (SELECT base_rank FROM c GROUP BY 1 HAVING count(*) > 1),
+  s AS (SELECT study_id, trial_id, base_rank, CAST(coalesce(enhanced, CASE WHEN base_rank <= 3 THEN trunc(1 + percent * 30 / 100) WHEN base_rank <= 6 THEN trunc(31 + percent * 30 / 100) ELSE trunc(61 + percent * 39 / 100) END) AS INT) AS enhanced, CASE WHEN enhanced IS NULL THEN 5e-1 ELSE CAST(confidence AS DOUBLE) END AS confidence FROM c JOIN n USING (base_rank) LEFT JOIN j USING (study_id, trial_id))
+  SELECT *, row_number() OVER (PARTITION BY base_rank ORDER BY enhanced DESC, study_id, trial_id) AS relative_position FROM s"""
+)
+def xx8_resolved_positions(spark, sf_dir):
+    cards = A.select(spark, sf_dir, _CARDS, "lineitem").withColumn("quality", F.col("percent").cast("decimal(10,2)") / F.lit(100).cast("decimal(10,2)"))
+    return evaluation.resolved_positions(cards, A.select(spark, sf_dir, JUDGED, "lineitem"))
