@@ -15,9 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import WHITE, id_bucket, is_small, settle, spread, worker_cache
+from lodestar.llm.common import WHITE, id_bucket, is_small, settle, spread, text_slices, worker_cache
 
 LETTER = re.compile(r"[^\W\d_]")
+#: Texts are runs of letters: signs and digits tell of junk, not of a language.
+WORD = re.compile(r"[^\W\d_]+")
 #: Bytes that a worker's words may take before it starts over, and those of a word besides its letters.
 CACHE_BYTES, WORD_BYTES = 40 << 20, 250
 
@@ -82,7 +84,7 @@ class Parser:
             self.rows, self.counts, self.held = {}, [], 0
         found, ends, chars, rows, counts = [], [], [], self.rows, self.counts
         for text in texts:
-            words = text.lower().split()
+            words = WORD.findall(text.lower())
             for w in words:
                 if (k := rows.get(w)) is None:
                     k = rows[w] = len(counts)
@@ -99,27 +101,24 @@ class Parser:
         return (total[ends] - total[starts]) * self.bits / np.asarray(chars)[:, None]
 
 
-def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str, train, docs_per_lang: int, chars_per_lang: int) -> dict[str, str]:
-    """A bounded sample of labelled text per language: documents of any length in the order of a hash, whole, until
-    there are docs_per_lang of them or they hold chars_per_lang characters together.  Only a text that alone has more
-    than that is taken in pieces from all over it.  Every language with a text has a sample.  Ids are
-    ranked first, without texts, and of a language only so many as a count says are needed, so no task ranks a language."""
-    if docs_per_lang < 1 or chars_per_lang < 1:
-        raise ValueError("the sample needs a document and a character at least")
+def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str, train, docs_per_lang: int, chars_per_doc: int) -> dict[str, str]:
+    """A bounded sample of labelled text per language: the documents with the smallest hashes, of any length; of those that
+    are longer than chars_per_doc, four pieces from all over the text, evenly apart, that hold so many together.  Every
+    language with a text has a sample.  Ids are ranked first, without texts, and of a language only so
+    many as a count says are needed, so no task ranks a language."""
+    if docs_per_lang < 1 or chars_per_doc < 4:
+        raise ValueError("the sample needs a document and four characters at least")
     own = df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_l")).where(train & F.col("_l").isNotNull())
     own = own.where(F.btrim("_t", F.lit(WHITE)) != "")
-    ids = settle(own.select("_i", "_l", F.xxhash64("_i").alias("_h"), F.length("_t").alias("_c")))
+    ids = settle(own.select("_i", "_l", F.xxhash64("_i").alias("_h")))
     counts = ids.groupBy("_l").count()
     few = ids.join(F.broadcast(counts) if is_small(counts, 10_000) else counts, "_l").where(F.pmod("_h", F.greatest(F.lit(1), F.expr(f"`count` div {8 * docs_per_lang}"))) == 0)
-    order = Window.partitionBy("_l").orderBy("_h", "_i")
-    before = F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = few.groupBy("_i", "_l", "_h").agg(F.max("_c").alias("_c")).withColumn("_n", F.row_number().over(order)).withColumn("_before", before)
-    picked = ranked.where((F.col("_n") <= docs_per_lang) & (F.col("_before") < chars_per_lang))
-    own = own.withColumn("_t", spread(F.col("_t"), chars_per_lang))
+    picked = few.distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_l").orderBy("_h", "_i"))).where(F.col("_n") <= docs_per_lang)
+    own = own.withColumn("_t", spread(F.col("_t"), chars_per_doc, 4))
     rows = own.join(F.broadcast(picked.select("_i", "_l")), ["_i", "_l"]).select("_l", "_i", "_t").distinct().collect()
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["_l"], r["_i"], r["_t"])):
-        out.setdefault(r["_l"], []).append(" ".join(r["_t"].lower().split()))
+        out.setdefault(r["_l"], []).append(" ".join(WORD.findall(r["_t"].lower())))
     return {k: " " + " ".join(v) + " " for k, v in out.items()}
 
 
@@ -144,19 +143,19 @@ def clean_samples(samples: dict[str, str], words: int = 12) -> dict[str, str]:
     return {k: " " + " ".join(kept[k] or [samples[k]]) + " " for k in samples}
 
 
-def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, folds: int = 5, docs_per_lang: int = 48, chars_per_lang: int = 40_000, carry: tuple[str, ...] = ()) -> DataFrame:
+def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, folds: int = 5, docs_per_lang: int = 48, chars_per_doc: int = 800, carry: tuple[str, ...] = ()) -> DataFrame:
     """Predict the language of every whole text.
 
     Learns from rows whose crc32(id as text) modulo folds is not 0 and whose label is not null: at
-    most docs_per_lang documents of each language, of any length and whole, and until they have chars_per_lang
-    characters (a bounded sample, so the automata have a fixed size).  Returns id_col, held_out, lang_pred, score
+    most docs_per_lang documents of each language, of any length, and of each its whole text or chars_per_doc
+    characters from all over it (a bounded sample, so the automata have a fixed size).  Returns id_col, held_out, lang_pred, score
     and the columns named in carry.
 
     Null, empty and letterless texts are `und` with score 0, and so is everything where no labelled
     text exists.  Ties go to the language that sorts first; repeated rows each give a row; other
     columns are not read.  score is 1 - cheapest / second cheapest cost (1 with one language).
     """
-    samples = sample_texts(df, id_col, text_col, lang_col, id_bucket("_i", folds) != 0, docs_per_lang, chars_per_lang)
+    samples = sample_texts(df, id_col, text_col, lang_col, id_bucket("_i", folds) != 0, docs_per_lang, chars_per_doc)
     samples = clean_samples({k: v for k, v in samples.items() if v.strip()})
     keep = [c for c in carry if c != id_col]
     if clash := {"held_out", "lang_pred", "score"}.intersection(keep):
@@ -167,19 +166,21 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         cache = worker_cache("langid")
         if samples and key not in cache:
             cache[key] = Parser(samples)
-        for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            names, scores = ["und"] * len(texts), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if LETTER.search(t)] if samples else []
-            if known:
-                parser = cache[key]
-                costs = parser.costs([texts[i] for i in known])
-                best = costs.argmin(axis=1)
-                low = np.partition(costs, 1, axis=1)[:, :2] if costs.shape[1] > 1 else np.stack([np.zeros(len(known)), np.ones(len(known))], axis=1)
-                scores[known] = np.clip(1 - low[:, 0] / np.maximum(low[:, 1], 1e-12), 0, 1)
-                for i, k in zip(known, best, strict=True):
-                    names[i] = parser.langs[k]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *(b.column(3 + i) for i in range(len(keep)))], names=[id_col, "held_out", "lang_pred", "score", *keep])
+        for whole in batches:
+            for lo, hi in text_slices(whole.column(1)):
+                b = whole.slice(lo, hi - lo)
+                texts = [t or "" for t in b.column(1).to_pylist()]
+                names, scores = ["und"] * len(texts), np.zeros(len(texts))
+                known = [i for i, t in enumerate(texts) if LETTER.search(t)] if samples else []
+                if known:
+                    parser = cache[key]
+                    costs = parser.costs([texts[i] for i in known])
+                    best = costs.argmin(axis=1)
+                    low = np.partition(costs, 1, axis=1)[:, :2] if costs.shape[1] > 1 else np.stack([np.zeros(len(known)), np.ones(len(known))], axis=1)
+                    scores[known] = np.clip(1 - low[:, 0] / np.maximum(low[:, 1], 1e-12), 0, 1)
+                    for i, k in zip(known, best, strict=True):
+                        names[i] = parser.langs[k]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *(b.column(3 + i) for i in range(len(keep)))], names=[id_col, "held_out", "lang_pred", "score", *keep])
 
     types = dict(df.dtypes)
     rows = df.select(id_col, F.col(text_col).alias("_t"), (id_bucket(id_col, folds) == 0).alias("held_out"), *(F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import settle, text_slices, word_hashes
+from lodestar.llm.common import settle, text_slices, word_hashes, worker_cache
 from lodestar.llm.components import components
 
 #: Hashes that neighbours must share, and hashes that a tree sorts by.
@@ -74,6 +74,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, trees: i
     mul, add = coefficients(trees, seed)
 
     def run(batches):
+        worker_cache("near_dups")  # what an earlier stage kept in this worker goes
         for b in batches:
             n, d1, d2, sig = [], [], [], []
             for x in shingle_sets(b.column(1), shingle):
@@ -106,6 +107,7 @@ def neighbours(reps: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
     names = ["a", "b", "part", "place", "tree", "key"]
 
     def run(batches):
+        worker_cache("near_dups")  # what an earlier stage kept in this worker goes
         part, first, last = TaskContext.get().partitionId(), [], []
         table = None
         for b in batches:
@@ -159,6 +161,7 @@ def shingle_rows(texts: DataFrame, shingle: int, percent: int | None, common: np
     sent = texts.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
 
     def run(batches):
+        worker_cache("near_dups")  # what an earlier stage kept in this worker goes
         hashes, rank = sent.value
         for b in batches:
             for i, x in enumerate(shingle_sets(b.column(1), shingle)):
@@ -206,6 +209,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     both = one.join(texts.select(F.col("_i").alias("b"), F.col("_t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
+        worker_cache("near_dups")  # what an earlier stage kept in this worker goes
         for b in batches:
             keep, seconds = [], b.column(1).to_pylist()
             heads = [k for k in range(len(seconds)) if not k or seconds[k] != seconds[k - 1]]  # pairs of one b mostly follow each other
