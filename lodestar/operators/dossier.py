@@ -108,7 +108,8 @@ def fuzzy_companies(names: DataFrame, companies: DataFrame, least: float = 0.3)
     clean = F.regexp_replace(F.lower("name"), r"[^\w\s]", "")
     own = said.select("name", clean.alias("_k"))
     same = own.join(companies.select("company_id", F.lower("name").alias("_k")), "_k").groupBy("name").agg(F.min("company_id").alias("_same"))
-    near = candidates(own.select(F.col("_k").alias("sponsor")), companies, 1, least).select(F.col("sponsor").alias("_k"), F.col("company_id").alias("_near"), "sim")
+    unlike = own.join(same, "name", "left_anti")
+    near = candidates(unlike.select(F.col("_k").alias("sponsor")), companies, 1, least).select(F.col("sponsor").alias("_k"), F.col("company_id").alias("_near"), "sim")
     both = own.join(same, "name", "left").join(near, "_k", "left")
     exact = F.col("_same").isNotNull()
     label = F.when(exact, "exact").when(F.col("sim") > FUZZY_HIGH, "high_confidence").when(F.col("sim") > FUZZY_MODERATE, "moderate_confidence").when(F.col("sim").isNotNull(), "low_confidence").otherwise("uncertain")

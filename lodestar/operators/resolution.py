@@ -7,48 +7,16 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
 from lodestar.functions.udfs import jaro_winkler
-from lodestar.operators import resolve, review
+from lodestar.operators import resolve, review, similar
 from lodestar.operators.durable import kept
+from lodestar.operators.similar import first_of_each, nearest, similar_texts
 
 FEATURES = ("jw_primary", "token_set_ratio", "acronym_exact", "domain_root_match", "ticker_string_hit", "academic_keyword_penalty", "strong_token_overlap", "drug_code_hit", "extra_domain_hit")
 
 
-def _grams(texts: DataFrame, name: str) -> DataFrame:
-    return texts.select(name).where(f"{name} IS NOT NULL").distinct().withColumn("g", T.trigrams(F.col(name))).where(F.size("g") > 0)
-
-
-def similar_texts(sought: DataFrame, texts: DataFrame, least: float = 0.3) -> DataFrame:
-    """q, text, sim: all pairs of sought(q) and texts(text) that have `least` of their trigrams in common (of those in
-    either).
-
-    Two such sets must share a trigram among the rarest few of each, in one order of all trigrams; sizes and places in
-    that order rule out most pairs that do.  So frequent trigrams, which most names have, are hardly ever
-    joined on, and only pairs that are left are compared in whole.
-    """
-    pairs = _met(sought, texts, least)
-    a, b = _grams(sought, "q").withColumnRenamed("g", "ga"), _grams(texts, "text").withColumnRenamed("g", "gb")
-    both = F.size(F.array_intersect("ga", "gb"))
-    rows = pairs.join(a, "q").join(b, "text").select("q", "text", (both / (F.size("ga") + F.size("gb") - both)).alias("sim"))
-    return rows.where(F.col("sim") >= least)
-
-
 def _met(sought: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs that the filters leave: q, text."""
-    a, b = _grams(sought, "q"), _grams(texts, "text")
-    order = kept(a.select(F.explode("g").alias("t")).unionByName(b.select(F.explode("g").alias("t"))).groupBy("t").count())
-
-    def prefixes(rows: DataFrame, name: str, n: str, at: str) -> DataFrame:
-        placed = rows.select(name, F.size("g").alias(n), F.explode("g").alias("t")).join(order, "t")
-        w = Window.partitionBy(name).orderBy("count", "t")
-        # of a set of n at least ceil(least * n) trigrams are shared; a shared one lies before the last of these
-        return placed.select(name, n, "t", F.row_number().over(w).alias(at)).where(F.col(at) <= F.col(n) - F.ceil(F.col(n) * least - 1e-9) + 1)
-
-    met = prefixes(a, "q", "na", "ia").join(prefixes(b, "text", "nb", "ib"), "t")
-    needed = (F.col("na") + F.col("nb")) * (least / (1 + least)) - 1e-9
-    left = 1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    # the first trigram that both have: those before it can't be shared, so what comes after must be enough
-    first = met.groupBy("q", "text", "na", "nb").agg(F.min(F.struct("ia", "ib")).alias("m")).select("q", "text", "na", "nb", "m.*")
-    return first.where((F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-9) & (left >= needed)).select("q", "text")
+    return similar.met(*similar.ranked(sought, texts), least).select("q", "text").distinct()
 
 
 def retrieve(sponsors: DataFrame, companies: DataFrame, aliases: DataFrame, securities: DataFrame, k: int = 50) -> DataFrame:
@@ -60,13 +28,15 @@ def retrieve(sponsors: DataFrame, companies: DataFrame, aliases: DataFrame, secu
     """
     half = max(1, k // 2)
     q = sponsors.select("sponsor").where("sponsor is not null").distinct().withColumn("q", T.norm_name(F.col("sponsor")))
-    named = companies.select("company_id", T.norm_name(F.col("name")).alias("text"))
-    called = aliases.select("company_id", T.norm_name(F.col("alias")).alias("text"), F.monotonically_increasing_id().alias("_row"))
-    sims = kept(similar_texts(q, named.select("text").unionByName(called.select("text"))))
+    # of rows of one text only the first half of k can be among those of any sponsor
+    named = kept(first_of_each(companies.select("company_id", T.norm_name(F.col("name")).alias("text")), ["text"], ["company_id"], half))
+    called = kept(first_of_each(aliases.select("company_id", T.norm_name(F.col("alias")).alias("text")), ["text"], ["company_id"], half))
+    held = kept(named.groupBy("text").agg(F.count("*").alias("a"), F.lit(0).cast("long").alias("b")).unionByName(called.groupBy("text").agg(F.lit(0).cast("long").alias("a"), F.count("*").alias("b"))).groupBy("text").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    enough = lambda pairs: pairs.join(held, "text").groupBy("q").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") >= half) & (F.col("b") >= half))
+    sims = kept(nearest(q, held, enough))
 
     def best(texts: DataFrame, ties: list[str]) -> DataFrame:
-        w = Window.partitionBy("q").orderBy(F.desc("sim"), *ties)
-        return sims.join(texts, "text").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= half).select("q", "company_id", "sim")
+        return first_of_each(sims.join(texts, "text"), ["q"], [F.desc("sim"), *ties], half).select("q", "company_id", "sim")
 
     top = best(named, ["company_id"]).unionByName(best(called, ["company_id", "text"])).groupBy("q", "company_id").agg(F.max("sim").alias("sim"))
     ranked = top.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("sim"), "company_id"))).where(F.col("rank") <= k)

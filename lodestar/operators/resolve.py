@@ -11,6 +11,7 @@ from lodestar.functions import text as T
 from lodestar.functions.stats import logistic
 from lodestar.functions.udfs import jaro_winkler
 from lodestar.operators.durable import kept
+from lodestar.operators.similar import first_of_each, nearest
 
 # Weights of the logistic score, its intercept, and the decision's limits.
 WEIGHTS = {"jw_primary": 2.8, "token_set_ratio": 2.4, "acronym_exact": 1.9, "domain_root_match": 3.6, "academic_keyword_penalty": -1.2, "ticker_string_hit": 3.0}
@@ -84,19 +85,19 @@ def not_ignored(sponsors: DataFrame, ignore: DataFrame) -> DataFrame:
 def candidates(sponsors: DataFrame, names: DataFrame, k: int = 10, least: float = 0.3) -> DataFrame:
     """The k companies whose name is most similar in trigrams: sponsor, company_id, name, sim.
 
-    sponsors(sponsor), names(company_id, name).  Works on distinct texts, joins on trigrams, counts what
-    two texts share, and divides by the union.  Ties by company id.
+    sponsors(sponsor), names(company_id, name).  Works on distinct normalised texts and looks only as far down as k
+    companies ask.  Ties by company id.
     """
-    left = sponsors.select("sponsor").where("sponsor is not null").distinct().withColumn("g", T.trigrams(T.norm_name(F.col("sponsor"))))
-    right = names.select("name").where("name is not null").distinct().withColumn("g", T.trigrams(T.norm_name(F.col("name"))))
-    a = left.select("sponsor", F.size("g").alias("na"), F.explode("g").alias("t"))
-    b = right.select("name", F.size("g").alias("nb"), F.explode("g").alias("t"))
-    shared = a.join(b, "t").groupBy("sponsor", "name", "na", "nb").count()
-    sim = F.col("count") / (F.col("na") + F.col("nb") - F.col("count"))
-    near = shared.select("sponsor", "name", sim.alias("sim")).where(F.col("sim") >= least)
-    top = near.join(names.select("company_id", "name").distinct(), "name").groupBy("sponsor", "company_id").agg(F.max("sim").alias("sim"), F.max_by("name", F.struct("sim", "name")).alias("name"))
-    rank = Window.partitionBy("sponsor").orderBy(F.desc("sim"), "company_id")
-    return top.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    q = sponsors.select("sponsor").where("sponsor is not null").distinct().withColumn("q", T.norm_name(F.col("sponsor")))
+    known = names.select("company_id", "name").where("name is not null").withColumn("text", T.norm_name(F.col("name")))
+    # of companies of one text only the first k can be among the k of any sponsor
+    held = kept(first_of_each(known.groupBy("text", "company_id").agg(F.max("name").alias("name")), ["text"], ["company_id"], k))
+    enough = lambda pairs: pairs.join(held, "text").groupBy("q").agg(F.countDistinct("company_id").alias("n")).where(F.col("n") >= k)
+    near = nearest(q, held, enough, least).join(held, "text")
+    top = near.groupBy("q", "company_id").agg(F.max("sim").alias("sim"), F.max_by("name", F.struct("sim", "name")).alias("name"))
+    rank = Window.partitionBy("q").orderBy(F.desc("sim"), "company_id")
+    best = top.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    return q.join(best, "q").select("sponsor", "company_id", "sim", "name", "rank")
 
 
 def best_security(securities: DataFrame) -> DataFrame:
