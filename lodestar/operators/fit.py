@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -51,7 +52,8 @@ def fit_resolver(rows: DataFrame, features: list[str], label: str, group: str, *
     known = rows.where(F.col(label).isNotNull())
     k = min(folds, max(2, known.select(group_of.alias("g")).distinct().limit(folds).count()))
     base = known.select(*(c for c in rows.columns if c not in features), *zero, F.col(label).cast("double").alias("_y"), F.pmod(F.xxhash64(group_of), F.lit(k)).cast("int").alias("_fold"))
-    data = kept(VectorAssembler(inputCols=features, outputCol="_x").transform(base))
+    # every fit reads the rows many times over, so all cores are to have some, however few files they come from
+    data = kept(VectorAssembler(inputCols=features, outputCol="_x").transform(base).repartition(4 * rows.sparkSession.sparkContext.defaultParallelism))
     sizes = {r["_fold"]: (r["n"], int(r["p"])) for r in data.groupBy("_fold").agg(F.count("*").alias("n"), F.sum("_y").alias("p")).collect()}
     n, pos = sum(a for a, _ in sizes.values()), sum(p for _, p in sizes.values())
     if not 0 < pos < n:
@@ -91,14 +93,19 @@ def _isotonic(held: DataFrame):
     model = IsotonicRegression(featuresCol="v", labelCol="y", weightCol="n").fit(points)
     xs, ys = model.boundaries.toArray().tolist(), model.predictions.toArray().tolist()
 
+    def at(m: float) -> float:
+        if m <= xs[0]:
+            return ys[0]
+        if m > xs[-1]:
+            return ys[-1]
+        k = bisect_left(xs, m)
+        return ys[k - 1] + (ys[k] - ys[k - 1]) * (m - xs[k - 1]) / (xs[k] - xs[k - 1])
+
+    table = [at(k / STEPS) for k in range(STEPS + 1)]
+
     def curve(m: Column) -> Column:
-        out = F.when(m <= xs[0], ys[0])
-        table = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"), F.lit(d).alias("d")) for a, b, c, d in zip(xs, xs[1:], ys, ys[1:], strict=False))) if len(xs) > 1 else None
-        if table is None:
-            return F.lit(ys[0])
-        part = F.element_at(F.filter(table, lambda t: (t["a"] < m) & (m <= t["b"])), 1)
-        line = part["c"] + (part["d"] - part["c"]) * (m - part["a"]) / (part["b"] - part["a"])
-        return out.when(m > xs[-1], ys[-1]).otherwise(line)
+        """m is a whole number of steps, so its value is looked up by place; no row goes through the points."""
+        return F.when(F.isnan(m), F.lit(ys[-1])).otherwise(F.get(F.array(*map(F.lit, table)), F.round(m * STEPS).cast("int")))
 
     return curve
 
