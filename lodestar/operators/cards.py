@@ -122,16 +122,21 @@ def _kind_and_text(v: Column) -> Column:
 def truthy(v: Column) -> Column:
     """Whether a value is there and neither null, false, 0 nor empty."""
 
-    def of(x):
-        k, s = x["kind"], x["text"]
-        return F.coalesce(F.when(k == "text", s != "").when(k == "boolean", s == "true").when(k == "number", s.try_cast("double") != 0).when(k.isin("array", "object"), ~s.isin("[]", "{}")), F.lit(False))
+    return let(v, lambda x: let(_kind_and_text(x), _holds))
+
 
-    return let(_kind_and_text(v), of)
+def _holds(x: Column) -> Column:
+    k, s = x["kind"], x["text"]
+    return F.coalesce(F.when(k == "text", s != "").when(k == "boolean", s == "true").when(k == "number", s.try_cast("double") != 0).when(k.isin("array", "object"), ~s.isin("[]", "{}")), F.lit(False))
 
 
 def number_of(v: Column) -> Column:
     """A number, a text that is one, or a flag as 1 or 0; else null."""
-    return let(_kind_and_text(v), lambda x: F.when(x["kind"] == "boolean", F.when(x["text"] == "true", 1.0).otherwise(0.0)).when(x["kind"].isin("number", "text"), F.trim(x["text"]).try_cast("double")))
+    return let(v, lambda x: let(_kind_and_text(x), _number))
+
+
+def _number(x: Column) -> Column:
+    return F.when(x["kind"] == "boolean", F.when(x["text"] == "true", 1.0).otherwise(0.0)).when(x["kind"].isin("number", "text"), F.trim(x["text"]).try_cast("double"))
 
 
 def whole_of(v: Column) -> Column:
@@ -163,10 +168,18 @@ def _status(kind: Column, k: Column, s: Column) -> Column:
     return found
 
 
+def _filled(card: Column) -> Column:
+    """As truthy; a card with a known key is, whatever else it holds, so most cards are not written out as text."""
+    heads = dict.fromkeys(p.split(".")[0] for _, p, _, _ in FIELDS)
+    return reduce(lambda a, b: a | b, (at(card, h).isNotNull() for h in heads)) | truthy(card)
+
+
 def fields(card: Column) -> Column:
     """Structs (field, path, type, value, status, confidence) of the fields a card has, and of required ones it lacks; none
-    for a null or empty card.  A loop over the table of fields, so that the plan holds the rule once."""
-    table = F.array(*(F.struct(F.lit(n).alias("field"), F.lit(p).alias("path"), F.lit(_path(p)).alias("at"), F.lit(k).alias("type"), F.lit(r).alias("needed")) for n, p, k, r in FIELDS))
+    for a null or empty card.  A loop over the table of fields, so that the plan holds the rule once; only the values are read
+    by constant paths, as others are parsed again for every row."""
+    table = F.array(*(F.struct(F.lit(n).alias("field"), F.lit(p).alias("path"), F.lit(k).alias("type"), F.lit(r).alias("needed")) for n, p, k, r in FIELDS))
+    values = F.array(*(at(card, p) for _, p, _, _ in FIELDS))
 
     def row(f, x):
         status = _status(f["type"], x["kind"], x["text"])
@@ -174,8 +187,9 @@ def fields(card: Column) -> Column:
         made = let(status, lambda how: F.struct(f["field"].alias("field"), f["path"].alias("path"), f["type"].alias("type"), x["text"].alias("value"), how.alias("status"), confidence(how).alias("confidence")))
         return F.when(x["text"].isNotNull() | f["needed"], made)
 
-    found = F.array_compact(F.transform(table, lambda f: let(_kind_and_text(F.try_variant_get(card, f["at"], "variant")), lambda x: row(f, x))))
-    return F.when(truthy(card), found).otherwise(F.array().cast(FOUND))
+    # what is neither there nor needed is left out before anything is worked out of it
+    found = F.array_compact(F.zip_with(table, values, lambda f, v: F.when(v.isNotNull() | f["needed"], let(_kind_and_text(v), lambda x: row(f, x)))))
+    return F.when(_filled(card), found).otherwise(F.array().cast(FOUND))
 
 
 def fields_summary(found: Column) -> Column:
@@ -238,40 +252,49 @@ def _issue(field: str, rule: str, level: str, message) -> Column:
 def issues(card: Column, found: Column) -> Column:
     """Structs (field, rule, level, message): missing and malformed fields, fields without evidence, populations and counts
     that don't fit, weak evidence.  `found` is what `evidence` gives.  None for a null or empty card."""
-    known = lambda v: text_of(v).isNotNull()
+    count = lambda v: F.when(kind_of(v) == "array", size_of(v)).otherwise(0)
+    read = [(n, p, r) for n, p, _, r in FIELDS if r or n == "power_calculation"]
+    itt, pp = at(card, "populations.itt"), at(card, "populations.pp")
+    values = F.struct(
+        *(let(at(card, p), _kind_and_text).alias(n) for n, p, _ in read), let(at(card, "sample_size.total_n"), _kind_and_text).alias("total_n"),
+        truthy(itt).alias("itt"), truthy(pp).alias("pp"), ((kind_of(pp) == "object") & truthy(at(pp, "defined")) & truthy(at(pp, "criteria"))).alias("defined"),
+        text_of(at(card, "populations.analysis_primary_on")).alias("on"), count(at(card, "primary_endpoints")).alias("ends"), count(at(card, "results.primary")).alias("results"),
+    )
+    every = let(F.struct(values.alias("v"), found.alias("e")), lambda x: F.array_compact(F.array(*_issues(x["v"], x["e"], [(n, r) for n, _, r in read]))))
+    return F.when(_filled(card), every).otherwise(F.array().cast(ISSUES))
+
+
+def _issues(v: Column, found: Column, read: list[tuple[str, bool]]) -> list[Column]:
+    """Each issue or null, from what was read of a card once."""
+    known = lambda x: x["text"].isNotNull()
     out = []
-    for name, path, kind, needed in FIELDS:
-        v = at(card, path)
+    for name, needed in read:
+        x = v[name]
+        s, k = x["text"], x["kind"]
         if needed:
-            out.append(F.when(~known(v), _issue(name, "required_field", "error", f"Required field '{name}' is missing")))
-        s, k = text_of(v), kind_of(v)
+            out.append(F.when(~known(x), _issue(name, "required_field", "error", f"Required field '{name}' is missing")))
         if name == "nct_id":
-            out.append(F.when(known(v) & ~((k == "text") & s.rlike(r"^NCT\d{8}$")), _issue(name, "field_format", "error", "Invalid NCT ID format")))
+            out.append(F.when(known(x) & ~((k == "text") & s.rlike(r"^NCT\d{8}$")), _issue(name, "field_format", "error", "Invalid NCT ID format")))
         if name == "phase":
-            out.append(F.when(known(v) & ~((k == "text") & s.isin(*PHASES)), _issue(name, "field_format", "warning", "Unusual trial phase value")))
+            out.append(F.when(known(x) & ~((k == "text") & s.isin(*PHASES)), _issue(name, "field_format", "warning", "Unusual trial phase value")))
         if name == "indication":
-            out.append(F.when(known(v) & ~((k == "text") & F.length(F.trim(s)).between(3, 200)), _issue(name, "field_format", "warning", "Indication text may be too short or too long")))
+            out.append(F.when(known(x) & ~((k == "text") & F.length(F.trim(s)).between(3, 200)), _issue(name, "field_format", "warning", "Indication text may be too short or too long")))
         if name == "sample_size":
-            n = at(card, f"{path}.total_n")
-            size = F.when((k == "object") & n.isNotNull(), F.when(kind_of(n).isin("number", "boolean"), number_of(n))).when(k.isin("number", "boolean"), number_of(v))
-            out.append(F.when(known(v) & ~F.coalesce(size > 0, F.lit(False)), _issue(name, "field_range", "error", "Invalid sample size value")))
+            n = v["total_n"]
+            size = F.when((k == "object") & n["kind"].isNotNull(), F.when(n["kind"].isin("number", "boolean"), _number(n))).when(k.isin("number", "boolean"), _number(x))
+            out.append(F.when(known(x) & ~F.coalesce(size > 0, F.lit(False)), _issue(name, "field_range", "error", "Invalid sample size value")))
         if name == "power_calculation":
-            fit = k.isin("number", "boolean") & number_of(v).between(0.5, 1.0)
-            out.append(F.when(known(v) & ~F.coalesce(fit, F.lit(False)), _issue(name, "field_range", "warning", "Power calculation outside expected range")))
+            fit = k.isin("number", "boolean") & _number(x).between(0.5, 1.0)
+            out.append(F.when(known(x) & ~F.coalesce(fit, F.lit(False)), _issue(name, "field_range", "warning", "Power calculation outside expected range")))
         if name in ("primary_endpoints", "primary_results"):
             out.append(F.when(F.size(F.filter(found, _of_field(name))) == 0, _issue(name, "evidence_presence", "warning", f"No evidence spans found for {name}")))
-    itt, pp, on = at(card, "populations.itt"), at(card, "populations.pp"), at(card, "populations.analysis_primary_on")
-    defined = (kind_of(pp) == "object") & truthy(at(pp, "defined")) & truthy(at(pp, "criteria"))
-    out.append(F.when(truthy(itt) & truthy(pp) & (text_of(on) == "PP") & ~defined, _issue("population_consistency", "field_consistency", "warning", "PP population analysis without proper PP definition")))
-    ends, results = at(card, "primary_endpoints"), at(card, "results.primary")
-    count = lambda v: F.when(kind_of(v) == "array", size_of(v)).otherwise(0)
-    unlike = F.format_string("Mismatch between endpoints (%d) and results (%d)", count(ends), count(results))
-    out.append(F.when(truthy(ends) & truthy(results) & (count(ends) != count(results)), _issue("endpoint_result_consistency", "field_consistency", "warning", unlike)))
+    out.append(F.when(v["itt"] & v["pp"] & (v["on"] == "PP") & ~v["defined"], _issue("population_consistency", "field_consistency", "warning", "PP population analysis without proper PP definition")))
+    unlike = F.format_string("Mismatch between endpoints (%d) and results (%d)", v["ends"], v["results"])
+    out.append(F.when(_holds(v["primary_endpoints"]) & _holds(v["primary_results"]) & (v["ends"] != v["results"]), _issue("endpoint_result_consistency", "field_consistency", "warning", unlike)))
     good = lambda e: e["evidence_type"].isin("loc", "source") | ((e["evidence_type"] == "text_preview") & (F.length(e["value"]) > 10))
     weak = F.try_divide(F.size(F.filter(found, lambda e: ~good(e))), F.size(found))
     out.append(F.when(weak > 0.3, _issue("evidence_quality", "evidence_presence", "warning", F.format_string("Low quality evidence detected (%.1f%%)", weak * 100))))
-    every = F.array_compact(F.array(*out))
-    return F.when(truthy(card), every).otherwise(F.array().cast(ISSUES))
+    return out
 
 
 def _of_field(name: str):

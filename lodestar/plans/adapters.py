@@ -67,6 +67,11 @@ def select(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame
     return spark.sql(text, **tables(spark, sf_dir, *names))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores: what is slow by the row would else run in as few tasks as a small file has pieces."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _word(sql: str, name: str) -> str:
     import re
 

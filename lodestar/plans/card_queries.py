@@ -30,7 +30,8 @@ STUDY = """'{"trial":{' || CASE o_orderkey % 3 WHEN 0 THEN '"nct_id":"NCT0123456
 
 
 def studies(spark, sf_dir):
-    base = A.tables(spark, sf_dir, "orders")["orders"].selectExpr("o_orderkey AS id", f"{STUDY} AS card_text")
+    keys = A.spread(A.tables(spark, sf_dir, "orders")["orders"].select("o_orderkey"))
+    base = keys.selectExpr("o_orderkey AS id", f"{STUDY} AS card_text")
     return base.select("id", "card_text", F.parse_json("card_text").alias("card"))
 
 
@@ -88,7 +89,8 @@ RAWS = "(SELECT o_orderkey AS id FROM orders)"
 
 
 def raw(spark, sf_dir):
-    return A.tables(spark, sf_dir, "orders")["orders"].selectExpr("o_orderkey AS id", f"parse_json({RAW}) AS card")
+    keys = A.spread(A.tables(spark, sf_dir, "orders")["orders"].select("o_orderkey"))
+    return keys.selectExpr("o_orderkey AS id", f"parse_json({RAW}) AS card")
 
 
 @query(
