@@ -35,6 +35,8 @@ DEFINITE = (
 # Confidence by kind of link.
 LINK_CONFIDENCE = {"nct_near_asset": 1.0, "exact_intervention_match": 0.95, "company_pr_bias": 0.90, "abstract_specificity": 0.85}
 NEAR = 250
+#: Rows of a dictionary that is sent to all tasks, at most.
+BROADCAST = 100_000
 
 
 def entities(docs: DataFrame, doc: str, text: str, pattern: str | tuple[str, ...], kind: str, page: str | None = None) -> DataFrame:
@@ -140,10 +142,12 @@ def citations(text: Column) -> Column:
 
 def dictionary_hits(docs: DataFrame, doc: str, text: str, names: DataFrame) -> DataFrame:
     """Single words and pairs of words with a blank between (a word is in one pair at most) of a text that a dictionary
-    (alias_norm, asset_id) holds; equi-joined."""
+    (alias_norm, asset_id) holds; equi-joined.  Spark takes what is exploded for as small as the texts' files, so it is never
+    what is broadcast: a dictionary of at most BROADCAST rows is, with a larger one both sides are sorted and merged."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.regexp_extract_all(F.lower(t), F.lit(r"([a-z][a-z0-9\-]{2,})"), 1)
     two = F.transform(F.regexp_extract_all(t, F.lit(r"(\b[A-Za-z][A-Za-z0-9\-]+ [A-Za-z][A-Za-z0-9\-]+\b)"), 1), F.lower)
     base = docs.select(F.col(doc).alias("doc_id"), words.alias("w"), two.alias("p"))
     grams = base.select("doc_id", F.explode(F.array_distinct(F.concat("w", "p"))).alias("alias_norm"))
-    return grams.join(names, "alias_norm").select("doc_id", "alias_norm", "asset_id")
+    small = names.limit(BROADCAST + 1).count() <= BROADCAST
+    return grams.join(names.hint("broadcast" if small else "merge"), "alias_norm").select("doc_id", "alias_norm", "asset_id")
