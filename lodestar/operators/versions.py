@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.functions.stats import let
 from lodestar.operators.json_trees import canonical, shown
 
 # Fields whose change always matters, and weights by severity.
@@ -66,11 +67,16 @@ def json_diff(old: Column, new: Column) -> Column:
     the number 5.  A text that is no object counts as an empty one.
     """
     to_map = lambda c: F.coalesce(F.try_parse_json(c).try_cast("map<string,variant>"), F.create_map().cast("map<string,variant>"))
-    a, b = to_map(old), to_map(new)
-    keys = F.array_sort(F.array_union(F.map_keys(a), F.map_keys(b)))
-    item = lambda k: F.struct(k.alias("key"), F.when(~F.map_contains_key(a, k), "added").when(~F.map_contains_key(b, k), "removed").otherwise("modified").alias("type"), shown(a[k]).alias("old"), shown(b[k]).alias("new"))
-    same = lambda k: F.map_contains_key(a, k) & F.map_contains_key(b, k) & canonical(a[k]).eqNullSafe(canonical(b[k]))
-    return F.transform(F.filter(keys, lambda k: ~same(k)), item)
+
+    def of(m: Column) -> Column:
+        a, b = m["a"], m["b"]
+        keys = F.array_sort(F.array_union(F.map_keys(a), F.map_keys(b)))
+        item = lambda k: F.struct(k.alias("key"), F.when(~F.map_contains_key(a, k), "added").when(~F.map_contains_key(b, k), "removed").otherwise("modified").alias("type"), shown(a[k]).alias("old"), shown(b[k]).alias("new"))
+        same = lambda k: F.map_contains_key(a, k) & F.map_contains_key(b, k) & canonical(a[k]).eqNullSafe(canonical(b[k]))
+        return F.transform(F.filter(keys, lambda k: ~same(k)), item)
+
+    # both texts are parsed once, not at every mention of a key
+    return let(F.struct(to_map(old).alias("a"), to_map(new).alias("b")), of)
 
 
 CRITICAL_PLAN = ("alpha", "one_sided", "planned_interims")
@@ -79,20 +85,24 @@ CRITICAL_PLAN = ("alpha", "one_sided", "planned_interims")
 def plan_change(old: Column, new: Column) -> Column:
     """Struct (material, severity, critical) of two analysis plans (JSON objects) that differ, else null; material where
     a critical field that both have differs."""
-    diff = json_diff(old, new)
-    both = _is_object(old) & _is_object(new)
-    critical = F.transform(F.filter(diff, lambda d: d["key"].isin(*CRITICAL_PLAN) & (d["type"] == "modified")), lambda d: d["key"])
-    material = F.size(critical) > 0
-    return F.when(both & (F.size(diff) > 0), F.struct(material.alias("material"), F.when(material, "H").otherwise("M").alias("severity"), critical.alias("critical")))
+    def of(x: Column) -> Column:
+        critical = F.transform(F.filter(x["diff"], lambda d: d["key"].isin(*CRITICAL_PLAN) & (d["type"] == "modified")), lambda d: d["key"])
+        made = lambda c: F.struct((F.size(c) > 0).alias("material"), F.when(F.size(c) > 0, "H").otherwise("M").alias("severity"), c.alias("critical"))
+        return F.when((F.size(x["diff"]) > 0) & _is_object(x["old"]) & _is_object(x["new"]), let(critical, made))
+
+    return let(_texts_and_diff(old, new), of)
 
 
 def arms_change(old: Column, new: Column) -> Column:
     """Struct (material, severity, arm_count_change) of two sets of arms (JSON objects) that differ, else null; material
     where their numbers differ."""
     count = lambda c: F.size(F.json_object_keys(c))
-    more = count(new) - count(old)
-    both = _is_object(old) & _is_object(new)
-    return F.when(both & (F.size(json_diff(old, new)) > 0), F.struct((more != 0).alias("material"), F.when(more != 0, "H").otherwise("M").alias("severity"), more.alias("arm_count_change")))
+    made = lambda more: F.struct((more != 0).alias("material"), F.when(more != 0, "H").otherwise("M").alias("severity"), more.alias("arm_count_change"))
+    return let(_texts_and_diff(old, new), lambda x: F.when((F.size(x["diff"]) > 0) & _is_object(x["old"]) & _is_object(x["new"]), let(count(x["new"]) - count(x["old"]), made)))
+
+
+def _texts_and_diff(old: Column, new: Column) -> Column:
+    return let(F.struct(old.alias("old"), new.alias("new")), lambda x: F.struct(x["old"].alias("old"), x["new"].alias("new"), json_diff(x["old"], x["new"]).alias("diff")))
 
 
 def _is_object(c: Column) -> Column:

@@ -254,8 +254,10 @@ def ch1_nested_diff(spark, sf_dir):
 def ch4_plan_and_arms(spark, sf_dir):
     pairs = versions.with_previous(A.select(spark, sf_dir, NESTED, "events"), "trial_id", ["ts", "version_id"], ["body"]).where("n > 1")
     part = lambda c, k: F.get_json_object(c, f"$.{k}")
-    rows = pairs.select("version_id", versions.plan_change(part("was_body", "plan"), part("body", "plan")).alias("p"), versions.arms_change(part("was_body", "arms"), part("body", "arms")).alias("a"))
-    return rows.where("p IS NOT NULL").select("version_id", F.col("p.material").alias("plan_material"), F.col("a.severity").alias("arms_severity"), F.col("a.arm_count_change").alias("arm_count_change"))
+    both = F.struct(versions.plan_change(part("was_body", "plan"), part("body", "plan")).alias("p"), versions.arms_change(part("was_body", "arms"), part("body", "arms")).alias("a"))
+    # exploded, as a filter on p would have Spark work it out twice
+    rows = pairs.select("version_id", F.explode(F.filter(F.array(both), lambda x: x["p"].isNotNull())).alias("x"))
+    return rows.select("version_id", F.col("x.p.material").alias("plan_material"), F.col("x.a.severity").alias("arms_severity"), F.col("x.a.arm_count_change").alias("arm_count_change"))
 
 
 STUDY = """SELECT o_orderkey AS id, '{"results": {"z": "first ' || o_orderstatus || '", "a": 5, "b": {"deep": ["x", {"y": "' || o_orderpriority || '"}, 7]}}, "skip": {"no": "never"}, "doc": [{"t": "second"}, "bare", [{"u": "lost"}]]'
