@@ -52,26 +52,43 @@ def nine_features(pairs: DataFrame) -> DataFrame:
 
     Hosts of a company are its website and its domains; those of a sponsor are in its text or its context.
     """
+    return _context_features(_text_features(pairs))
+
+
+def _flag(c: Column) -> Column:
+    return F.when(F.coalesce(c, F.lit(False)), 1.0).otherwise(0.0)
+
+
+def _text_features(pairs: DataFrame) -> DataFrame:
+    """The features that the sponsor's text and the company decide, whatever the trial."""
     s, n = F.col("sponsor"), F.col("name")
-    flag = lambda c: F.when(F.coalesce(c, F.lit(False)), 1.0).otherwise(0.0)
-    none = F.array().cast("array<string>")
-    context = F.coalesce("context_domains", none)
-    site = F.when(F.col("website_domain") != "", F.array(F.lower("website_domain"))).otherwise(none)
-    hosts = F.concat(site, F.transform(F.filter(F.coalesce("domains", none), lambda d: d != ""), F.lower))
     ours = T.acronym(T.strip_legal(s))
     ticker = F.upper(F.coalesce("ticker", F.lit("")))
     return pairs.select(
         "*",
         jaro_winkler(T.norm_name(s), T.norm_name(n)).alias("jw_primary"),
         T.dice(T.tokens(s), T.tokens(n)).alias("token_set_ratio"),
-        flag((ours != "") & (ours == T.acronym(n))).alias("acronym_exact"),
-        flag(F.arrays_overlap(F.concat(T.domains(s), F.transform(context, F.lower)), hosts)).alias("domain_root_match"),
-        flag((ticker != "") & F.array_contains(F.transform(T.tokens(s), F.upper), ticker)).alias("ticker_string_hit"),
-        flag(T.is_academic(s)).alias("academic_keyword_penalty"),
+        _flag((ours != "") & (ours == T.acronym(n))).alias("acronym_exact"),
+        _flag((ticker != "") & F.array_contains(F.transform(T.tokens(s), F.upper), ticker)).alias("ticker_string_hit"),
+        _flag(T.is_academic(s)).alias("academic_keyword_penalty"),
         T.dice(T.strong_tokens(s), T.strong_tokens(n)).alias("strong_token_overlap"),
-        flag(F.col("drug_code_hit")).alias("_code"),
-        flag(F.arrays_overlap(context, hosts)).alias("extra_domain_hit"),
-    ).withColumn("drug_code_hit", F.col("_code")).drop("_code")
+        T.domains(s).alias("_named"),
+    )
+
+
+def _context_features(rows: DataFrame) -> DataFrame:
+    """The features that a trial's context has a part in."""
+    none = F.array().cast("array<string>")
+    context = F.coalesce("context_domains", none)
+    site = F.when(F.col("website_domain") != "", F.array(F.lower("website_domain"))).otherwise(none)
+    hosts = F.concat(site, F.transform(F.filter(F.coalesce("domains", none), lambda d: d != ""), F.lower))
+    return rows.withColumns(
+        {
+            "domain_root_match": _flag(F.arrays_overlap(F.concat("_named", F.transform(context, F.lower)), hosts)),
+            "extra_domain_hit": _flag(F.arrays_overlap(context, hosts)),
+            "drug_code_hit": _flag(F.col("drug_code_hit")),
+        }
+    ).drop("_named")
 
 
 def resolve_trials(
@@ -94,9 +111,9 @@ def resolve_trials(
     by_rule = resolve.by_rules(sponsors.join(exact, "sponsor", "left_anti"), rules).select("sponsor", "company_id", F.lit("rule").alias("step"))
     sure = kept(exact.unionByName(by_rule))
     rest = todo.join(sure, "sponsor", "left_anti")
-    found = retrieve(rest, companies, aliases, securities, k)
+    found = kept(_text_features(retrieve(rest, companies, aliases, securities, k)))
     pairs = rest.select("nct_id", "sponsor", "context_domains", "drug_code_hit").join(found, "sponsor")
-    scored = kept(nine_features(pairs).withColumn("p", resolve.logistic_score(weights, intercept)))
+    scored = kept(_context_features(pairs).withColumn("p", resolve.logistic_score(weights, intercept)))
     # a trial is decided on its own, as its context counts
     decided = resolve.decide(scored.select(F.col("nct_id").alias("sponsor"), "company_id", "p"), tau, low, margin).withColumnRenamed("sponsor", "nct_id")
     texts = todo.select("nct_id", "sponsor")
