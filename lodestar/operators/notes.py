@@ -165,25 +165,30 @@ def spans(text: Column, pattern: str | Column, any_case: bool = True) -> Column:
     """
     rule = F.concat(F.lit("(?iuU)" if any_case else "(?U)"), F.lit(pattern))
     t = F.coalesce(text, F.lit(""))
+    return let(F.regexp_extract_all(t, rule, 0), lambda values: _placed(t, rule, values))
 
-    def placed(values: Column) -> Column:
-        pieces = F.arrays_zip(F.slice(F.split(t, rule, -1), 1, F.size(values)).alias("before"), values.alias("value"))
 
-        def step(done: Column, piece: Column) -> Column:
-            start = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + F.length(piece["before"])
-            return F.concat(done, F.array(F.struct(piece["value"].alias("value"), start.alias("start"), (start + F.length(piece["value"])).alias("end"))))
+def _placed(t: Column, rule: Column, values: Column) -> Column:
+    """Spans of all matches of a rule in a text."""
+    pieces = F.arrays_zip(F.slice(F.split(t, rule, -1), 1, F.size(values)).alias("before"), values.alias("value"))
 
-        return F.aggregate(pieces, F.array().cast(SPAN), step)
+    def step(done: Column, piece: Column) -> Column:
+        start = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + F.length(piece["before"])
+        return F.concat(done, F.array(F.struct(piece["value"].alias("value"), start.alias("start"), (start + F.length(piece["value"])).alias("end"))))
 
-    return let(F.regexp_extract_all(t, rule, 0), lambda values: F.when(F.size(values) == 0, F.array().cast(SPAN)).otherwise(placed(values)))
+    return F.when(F.size(values) == 0, F.array().cast(SPAN)).otherwise(F.aggregate(pieces, F.array().cast(SPAN), step))
 
 
 def _matches(text: Column, patterns: dict[str, tuple[str, ...]], row) -> Column:
     """row(kind, span) for every match, kind by kind and pattern by pattern; a loop over the table of patterns, so that
-    the plan holds the rule once."""
-    table = F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(p).alias("pattern")) for kind, ps in patterns.items() for p in ps))
-    found = F.flatten(F.transform(table, lambda k: F.transform(spans(text, k["pattern"]), lambda m: F.struct(k["kind"].alias("kind"), m["value"].alias("value"), m["start"].alias("start"), m["end"].alias("end")))))
-    return F.transform(found, lambda m: row(m["kind"], m))
+    the plan holds the rule once. Only the matches are sought with constant patterns, as others are compiled again for
+    every row; places are worked out where there are any."""
+    rules = [(kind, "(?iuU)" + p) for kind, ps in patterns.items() for p in ps]
+    table = F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(p).alias("rule")) for kind, p in rules))
+    t = F.coalesce(text, F.lit(""))
+    values = F.array(*(F.regexp_extract_all(t, F.lit(p), 0) for _, p in rules))
+    each = lambda k, v: F.transform(_placed(t, k["rule"], v), lambda m: F.struct(k["kind"].alias("kind"), m["value"].alias("value"), m["start"].alias("start"), m["end"].alias("end")))
+    return F.transform(F.flatten(F.zip_with(table, values, each)), lambda m: row(m["kind"], m))
 
 
 def _strip(c: Column) -> Column:

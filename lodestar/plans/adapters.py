@@ -59,12 +59,12 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
-def select(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
-    """An adapter's rows; its tables are read lazily and only their used columns."""
+def select(spark: SparkSession, sf_dir: str, sql: str, *names: str, even: bool = False) -> DataFrame:
+    """An adapter's rows; its tables are read lazily and only their used columns.  If `even`, they are spread first."""
     text = sql.replace("{", "{{").replace("}", "}}")  # the formatter's own
     for n in names:
         text = _word(text, n)
-    return spark.sql(text, **tables(spark, sf_dir, *names))
+    return spark.sql(text, **{n: spread(t) if even else t for n, t in tables(spark, sf_dir, *names).items()})
 
 
 def spread(df: DataFrame) -> DataFrame:

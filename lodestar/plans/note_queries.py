@@ -28,7 +28,7 @@ TEXTS = """SELECT o_orderkey AS id, 'Open  label study ' || CAST(o_orderkey AS V
 
 
 def texts(spark, sf_dir):
-    return A.select(spark, sf_dir, TEXTS, "orders")
+    return A.select(spark, sf_dir, TEXTS, "orders", even=True)
 
 
 def quoted(s: str) -> str:

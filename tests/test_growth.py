@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.operators import cards, extract, fit, versions
+from lodestar.operators import cards, extract, fit, notes, versions
 
 
 def plan(df):
@@ -43,3 +43,10 @@ def test_json_is_parsed_once_for_all_keys(spark):
     assert plan(diff).lower().count("parsejson") <= 2
     assert [(r["key"], r["type"]) for r in diff.first()["d"]] == [("a", "modified")]
     assert plan(df.select(versions.plan_change(F.col("old"), F.col("new")))).lower().count("parsejson") <= 4
+
+
+def test_patterns_of_notes_are_constants(spark):
+    df = spark.createDataFrame([("a small sample; severe dropout",)], "t string")
+    found = df.select(notes.limitations(F.col("t")).alias("m"))
+    assert not re.search(r"regexp_extract_all\([^()]*(\([^()]*\))?[^()]*lambda", plan(found))
+    assert "small sample" in [r["description"] for r in found.first()["m"]]
