@@ -109,6 +109,12 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "position") -> D
     return split.join(F.broadcast(before), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_n", "_part", "_before")
 
 
+def first_rows(df: DataFrame, order: list[Column], n: int, name: str = "position") -> DataFrame:
+    """The first n rows of a global order with their positions 1 to n, as `number_rows` gives them: every task keeps
+    its own n first of all rows, so nothing is sorted whole; for an n that one task holds."""
+    return df.orderBy(*order).limit(n).withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 def select_trials(trials: DataFrame, min_score: float | None = None, max_score: float | None = None, min_confidence: float | None = None, max_days: int | None = None, phases: list[str] | None = None, tickers: list[str] | None = None) -> DataFrame:
     """All given conditions at once."""
     for c in (None if min_score is None else F.col("score") >= min_score, None if max_score is None else F.col("score") <= max_score, None if min_confidence is None else F.col("confidence") >= min_confidence, None if max_days is None else F.col("days") <= max_days, None if phases is None else F.col("phase").isin(phases), None if tickers is None else F.col("ticker").isin(tickers)):

@@ -185,8 +185,9 @@ def _outcomes(spark, sf_dir) -> DataFrame:
 
 @query(f"{RANKED}, o AS ({OUTCOMES}), n AS (SELECT trial_id, row_number() OVER (ORDER BY band DESC, llm_score DESC, days, certainty DESC, ticker, trial_id) AS position FROM rk1), j AS (SELECT position, NOT coalesce(success, false) AS failed FROM n LEFT JOIN o USING (trial_id)), ks AS (SELECT unnest([1, 3, 5, 10, 50]) AS k) SELECT k, count(*) FILTER (failed) AS failures, count(*) FILTER (failed) / CAST(k AS DOUBLE) AS precision FROM ks JOIN j ON position <= k GROUP BY k")
 def bt2_precision_at_k(spark, sf_dir):
-    top = catalyst.number_rows(_ranked(spark, sf_dir), catalyst.ranking_order()).select("trial_id", "position")
-    return catalyst.precision_at(top, _outcomes(spark, sf_dir), (1, 3, 5, 10, 50))
+    ks = (1, 3, 5, 10, 50)
+    top = catalyst.first_rows(_ranked(spark, sf_dir), catalyst.ranking_order(), max(ks)).select("trial_id", "position")
+    return catalyst.precision_at(top, _outcomes(spark, sf_dir), ks)
 
 
 @query(f"{RANKED}, o AS ({OUTCOMES}), j AS (SELECT score, NOT coalesce(success, false) AS failed FROM rk1 LEFT JOIN o USING (trial_id)), a AS (SELECT count(*) FILTER (score >= 7) AS high_risk, count(*) FILTER (score >= 7 AND failed) AS true_positives, (SELECT count(*) FROM o WHERE NOT success) AS total_failures FROM j), b AS (SELECT *, true_positives / CAST(high_risk AS DOUBLE) AS p, true_positives / CAST(total_failures AS DOUBLE) AS r FROM a) SELECT high_risk, true_positives, total_failures, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM b")

@@ -50,3 +50,16 @@ def test_patterns_of_notes_are_constants(spark):
     found = df.select(notes.limitations(F.col("t")).alias("m"))
     assert not re.search(r"regexp_extract_all\([^,]*,[^,]*, concat\(\(\?iuU\), lambda", plan(found))
     assert "small sample" in [r["description"] for r in found.first()["m"]]
+
+
+# --- ranking, signals and gates ---------------------------------------------------------------------------------------
+
+
+def test_first_rows_have_the_positions_of_all_rows(spark):
+    from lodestar.operators import catalyst
+
+    df = spark.range(500).selectExpr("id", "id % 7 AS a", "CASE WHEN id % 3 > 0 THEN id % 5 END AS b").repartition(9)
+    order = [F.desc("a"), F.asc("b"), F.asc("id")]
+    want = sorted(tuple(r) for r in catalyst.number_rows(df, order).where("position <= 50").collect())
+    assert sorted(tuple(r) for r in catalyst.first_rows(df, order, 50).collect()) == want
+    assert catalyst.first_rows(df.limit(3), order, 50).count() == 3
