@@ -162,7 +162,9 @@ CONF = """list_filter([CASE WHEN score > 0 THEN least(1e0, score / 10) END, CASE
 
 @query(f"{RANKED}, rk2 AS (SELECT *, {CONF} AS fs, [4e-1, 3e-1, 2e-1, 1e-1] AS ws FROM rk1) SELECT trial_id, band, days, round(list_sum(list_transform(range(1, len(fs) + 1), lambda i: fs[i] * ws[i])) / list_sum(ws[1:len(fs)]), 6) AS confidence, row_number() OVER (ORDER BY band DESC, llm_score DESC, days, certainty DESC, ticker, trial_id) AS position FROM rk2")
 def ct8_ranking(spark, sf_dir):
-    out = catalyst.number_rows(_ranked(spark, sf_dir), catalyst.ranking_order())
+    # only what orders and is told is sorted and written, not all that a trial has
+    told = _ranked(spark, sf_dir).select("trial_id", "band", "llm_score", "days", "certainty", "ticker", "confidence")
+    out = catalyst.number_rows(told, catalyst.ranking_order())
     return out.select("trial_id", "band", "days", F.round("confidence", 6).alias("confidence"), "position")
 
 

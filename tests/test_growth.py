@@ -63,3 +63,15 @@ def test_first_rows_have_the_positions_of_all_rows(spark):
     want = sorted(tuple(r) for r in catalyst.number_rows(df, order).where("position <= 50").collect())
     assert sorted(tuple(r) for r in catalyst.first_rows(df, order, 50).collect()) == want
     assert catalyst.first_rows(df.limit(3), order, 50).count() == 3
+
+
+def test_ranking_writes_only_what_it_orders_by_and_tells(spark, monkeypatch):
+    from lodestar.operators import catalyst
+    from lodestar.plans import trial_queries
+
+    seen, kept = [], catalyst.kept
+    monkeypatch.setattr(catalyst, "kept", lambda df: seen.append(df.columns) or kept(df))
+    trial_queries.ct8_ranking(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1 and not {"p_fail", "score", "window_start", "window_end"} & set(seen[0])
+    trial_queries.bt2_precision_at_k(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1  # the first 50 are not taken from a numbering of all
