@@ -115,18 +115,23 @@ def s7(c: Column, rct_required: Column | None = None) -> Column:
     return result(c["is_pivotal"] & c["single_arm"] & (F.lit(True) if rct_required is None else F.coalesce(rct_required, F.lit(True))), F.lit("H"))
 
 
-def s8(c: Column, left: Column | None = None, right: Column | None = None) -> Column:
+def heap_tail(left: Column, right: Column) -> Column:
+    """How likely a programme's heap is by chance; null where nothing is heaped."""
+    n = left + right
+    return F.when((n >= HEAP_LEAST) & (left >= 2 * right), stats.binomial_upper_tail(left, n))
+
+
+def s8(c: Column, left: Column | None = None, right: Column | None = None, tail: Column | None = None) -> Column:
     """A primary p-value just under 0.05, or a programme's p-values heaped there.
 
-    left and right count the programme's p-values in [0.045, 0.050) and [0.050, 0.055].
+    left and right count the programme's p-values in [0.045, 0.050) and [0.050, 0.055]; tail, their
+    `heap_tail`, may come with the programme instead of being summed for each of its trials.
     """
     p = F.coalesce(c["primary_result"]["ITT"]["p"], F.lit(1.0))
     cusp = (p >= CUSP[0]) & (p <= CUSP[1])
-    if left is None or right is None:
+    if tail is None and (left is None or right is None):
         return result(cusp, F.lit("M"), F.when(cusp, p))
-    n = left + right
-    heaped = (n >= HEAP_LEAST) & (left >= 2 * right)
-    tail = F.when(heaped, stats.binomial_upper_tail(left, n))
+    tail = heap_tail(left, right) if tail is None else tail
     heap = F.coalesce(tail < HEAP_TAIL, F.lit(False))
     return result(cusp | heap, F.when(cusp, "M").otherwise("H"), F.when(cusp, p).when(heap, tail))
 
@@ -164,25 +169,31 @@ def class_thresholds(cards: DataFrame, by: str = "class_id", effect: Column | No
 def evaluate(cards: DataFrame, versions: DataFrame | None = None) -> DataFrame:
     """All signals of all cards (trial_id, sponsor_id, class_id, card): columns S1 to S9.
 
-    Class and programme tables are aggregates of the cards and far smaller; they join back on their
-    key, and versions join on the trial.
+    Signals of the card alone come first and once, so that what is shuffled is signals, not cards, and only
+    those that are asked for; then versions join on the trial, by which cards are often dealt out already.
+    Class and programme tables are aggregates of the cards and far smaller; they join back on their key.
     """
     heaps, classes = programme_heaps(cards), class_thresholds(cards)
     c = F.col("card")
-    wide = cards.join(heaps, "sponsor_id", "left").join(classes, "class_id", "left")
-    first = F.lit(None).cast("struct<fired:boolean,severity:string>")
+    alone = {"S2": s2(c), "S3": s3(c), "S4": s4(c), "S6": s6(c), "S7": s7(c), "S9": s9(c)}
+    # flat, as Spark leaves out unused columns before a join, but not unused fields
+    flat = [s[f].alias(f"_{n}_{f}") for n, s in alone.items() for f in FIELDS]
+    wide = cards.select("trial_id", "sponsor_id", "class_id", "card", c["primary_result"]["ITT"]["p"].alias("_p"), c["primary_result"]["effect_size"].alias("_effect"), *flat)
+    fired, severity = F.lit(False), F.lit("L")
     if versions is not None:
-        wide = wide.join(s1(versions).select("trial_id", F.struct("fired", "severity").alias("v")), "trial_id", "left")
-        first = F.col("v")
-    one = result(F.coalesce(first["fired"], F.lit(False)), F.coalesce(first["severity"], F.lit("L")))
-    return wide.select(
-        "trial_id", "sponsor_id", "class_id", "card",
-        one.alias("S1"), s2(c).alias("S2"), s3(c).alias("S3"), s4(c).alias("S4"), s5(c, F.col("graveyard"), F.col("p75"), F.col("p90")).alias("S5"),
-        s6(c).alias("S6"), s7(c).alias("S7"), s8(c, F.coalesce("heap_left", F.lit(0)), F.coalesce("heap_right", F.lit(0))).alias("S8"), s9(c).alias("S9"),
-    )
+        wide = wide.join(s1(versions).select("trial_id", F.col("fired").alias("_fired"), F.col("severity").alias("_severity")), "trial_id", "left")
+        fired, severity = F.coalesce("_fired", fired), F.coalesce("_severity", severity)
+    tails = heaps.select("sponsor_id", heap_tail(F.col("heap_left"), F.col("heap_right")).alias("_tail"))
+    wide = wide.join(tails, "sponsor_id", "left").join(classes, "class_id", "left")
+    # what S5 and S8 read of a card, under its own names
+    part = F.struct(F.struct(F.struct(F.col("_p").alias("p")).alias("ITT"), F.col("_effect").alias("effect_size")).alias("primary_result"))
+    out = {n: F.struct(*(F.col(f"_{n}_{f}").alias(f) for f in FIELDS)) for n in alone}
+    out |= {"S1": result(fired, severity), "S5": s5(part, F.col("graveyard"), F.col("p75"), F.col("p90")), "S8": s8(part, tail=F.col("_tail"))}
+    return wide.select("trial_id", "sponsor_id", "class_id", "card", *(out[n].alias(n) for n in NAMES))
 
 
 NAMES = tuple(f"S{i}" for i in range(1, 10))
+FIELDS = ("fired", "severity", "value", "reason", "low_cert")
 
 
 def fired_only(signals: DataFrame, high: bool = False) -> DataFrame:
@@ -190,3 +201,10 @@ def fired_only(signals: DataFrame, high: bool = False) -> DataFrame:
     rows = F.explode(F.array(*(F.struct(F.lit(n).alias("S_id"), F.col(n)["fired"].alias("fired"), F.col(n)["severity"].alias("severity"), F.col(n)["value"].alias("value")) for n in NAMES)))
     out = signals.select("trial_id", rows.alias("r")).where("r.fired").select("trial_id", "r.S_id", "r.severity", "r.value")
     return out.where("severity = 'H'") if high else out
+
+
+def fired_counts(signals: DataFrame) -> DataFrame:
+    """S_id, n of the signals that fired at all: counted where they are, without a row for each."""
+    one = signals.agg(*(F.count_if(F.col(n)["fired"]).alias(n) for n in NAMES))
+    rows = F.explode(F.array(*(F.struct(F.lit(n).alias("S_id"), F.col(n).alias("n")) for n in NAMES)))
+    return one.select(rows.alias("r")).select("r.S_id", "r.n").where("n > 0")

@@ -70,8 +70,9 @@ def sg7_single_arm(spark, sf_dir):
 @query(f"{WITH_CARDS}, {HEAPS}, x AS (SELECT trial_id, itt_p, {CUSP} AS cusp, coalesce(heaped AND tail < 1e-2, false) AS heap, tail FROM c LEFT JOIN tails USING (sponsor_id)) SELECT trial_id, cusp OR heap AS fired, CASE WHEN cusp THEN 'M' WHEN heap THEN 'H' ELSE 'L' END AS severity, round(CASE WHEN cusp THEN itt_p WHEN heap THEN tail END, 6) AS value FROM x")
 def sg8_cusp_or_heaping(spark, sf_dir):
     cards = A.cards(spark, sf_dir)
-    wide = cards.join(signals.programme_heaps(cards), "sponsor_id", "left")
-    return wide.select("trial_id", signals.s8(F.col("card"), F.col("heap_left"), F.col("heap_right")).alias("s")).select("trial_id", "s.fired", "s.severity", F.round("s.value", 6).alias("value"))
+    tails = signals.programme_heaps(cards).select("sponsor_id", signals.heap_tail(F.col("heap_left"), F.col("heap_right")).alias("tail"))
+    wide = cards.join(tails, "sponsor_id", "left")
+    return wide.select("trial_id", signals.s8(F.col("card"), tail=F.col("tail")).alias("s")).select("trial_id", "s.fired", "s.severity", F.round("s.value", 6).alias("value"))
 
 
 @query(f"{WITH_CARDS}, {HEAPS} SELECT sponsor_id, l AS heap_left, r AS heap_right, round(tail, 5) AS tail FROM tails")
@@ -103,7 +104,7 @@ def _scored(spark, sf_dir) -> DataFrame:
 
 @query(f"{WITH_CARDS}, {SIGNALS} SELECT S_id, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN f1 THEN 'S1' END, CASE WHEN f2 THEN 'S2' END, CASE WHEN f3 THEN 'S3' END, CASE WHEN f4 THEN 'S4' END, CASE WHEN f5 THEN 'S5' END, CASE WHEN f6 THEN 'S6' END, CASE WHEN f7 THEN 'S7' END, CASE WHEN f8 THEN 'S8' END, CASE WHEN f9 THEN 'S9' END], lambda x: x IS NOT NULL)) AS S_id FROM sig) q GROUP BY 1")
 def sga_fired_signals(spark, sf_dir):
-    return signals.fired_only(_signals(spark, sf_dir)).groupBy("S_id").agg(F.count("*").alias("n"))
+    return signals.fired_counts(_signals(spark, sf_dir))
 
 
 @query(f"{WITH_CARDS}, {SIGNALS}, {GATES} SELECT trial_id, g1, g2, g3, g4, round(CASE WHEN g1 THEN 35e-1 ELSE 1e0 END * CASE WHEN g2 THEN 3e0 ELSE 1e0 END * CASE WHEN g3 THEN 42e-1 ELSE 1e0 END * CASE WHEN g4 THEN 25e-1 ELSE 1e0 END, 6) AS lr_product FROM gat")

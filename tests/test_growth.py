@@ -75,3 +75,13 @@ def test_ranking_writes_only_what_it_orders_by_and_tells(spark, monkeypatch):
     assert len(seen) == 1 and not {"p_fail", "score", "window_start", "window_end"} & set(seen[0])
     trial_queries.bt2_precision_at_k(spark, "/root/testdata/sf0.001")
     assert len(seen) == 1  # the first 50 are not taken from a numbering of all
+
+
+def test_signals_are_told_before_rows_are_dealt_out(spark):
+    from lodestar.plans import trial_queries
+
+    lines = plan(trial_queries.sga_fired_signals(spark, "/root/testdata/sf0.001")).splitlines()
+    met = lines[: next(i for i, line in enumerate(lines) if "Join LeftOuter" in line)]
+    assert not any("aggregate(sequence" in line or "SQRT" in line for line in met)  # tails by programme, power by card
+    made = next(i for i, line in enumerate(met) if "explode" in line)
+    assert any("Aggregate" in line for line in met[made:])  # counted before they are made rows of
