@@ -56,7 +56,7 @@ def legacy_severity(g: str) -> Column:
     return F.when(F.col(g)["lr"] > 5.0, "H").otherwise("M")
 
 
-def fired_only(gated: DataFrame) -> DataFrame:
-    """Long form of the gates that fired."""
-    rows = F.explode(F.array(*(F.struct(F.lit(g).alias("G_id"), F.col(g)["fired"].alias("fired"), F.col(g)["lr"].alias("lr"), F.col(g)["supporting"].alias("supporting")) for g in GATES)))
-    return gated.select("trial_id", rows.alias("r")).where("r.fired").select("trial_id", "r.G_id", "r.lr", "r.supporting")
+def fired_only(gated: DataFrame, names: tuple[str, ...] = tuple(GATES)) -> DataFrame:
+    """Long form of those of the named gates that fired."""
+    rows = F.explode(F.array_compact(F.array(*(F.when(F.col(g)["fired"], F.struct(F.lit(g).alias("G_id"), F.col(g)["lr"].alias("lr"), F.col(g)["supporting"].alias("supporting"))) for g in names))))
+    return gated.select("trial_id", rows.alias("r")).select("trial_id", "r.G_id", "r.lr", "r.supporting")

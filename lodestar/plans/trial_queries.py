@@ -201,7 +201,7 @@ def bt3_ranking_accuracy(spark, sf_dir):
 
 @query(f"{WITH_CARDS}, {SIGNALS}, {GATES}, h AS (SELECT 'G3' AS gate, CASE WHEN trial_id % 2 = 0 THEN 'H' ELSE 'M' END AS severity, trial_id % 3 = 0 AS failed FROM gat WHERE g3 UNION ALL SELECT 'G4', CASE WHEN trial_id % 2 = 0 THEN 'H' ELSE 'M' END, trial_id % 3 = 0 FROM gat WHERE g4), a AS (SELECT gate, severity, count(*) AS n, avg(CAST(failed AS DOUBLE)) AS rate FROM h GROUP BY 1, 2 HAVING count(*) >= 10) SELECT gate, severity, n, round(greatest(1e0, least(1e2, 9e-1 * CASE WHEN rate = 0 THEN 1e-1 ELSE 1e0 END + 1e-1 * CASE gate || severity WHEN 'G3H' THEN 12 WHEN 'G3M' THEN 6 WHEN 'G4H' THEN 20 ELSE 10 END)), 2) AS lr FROM a")
 def sc6_ratio_calibration(spark, sf_dir):
-    fired = gates.fired_only(_gated(spark, sf_dir)).where("G_id in ('G3', 'G4')")
+    fired = gates.fired_only(_gated(spark, sf_dir), ("G3", "G4"))
     history = fired.select(F.col("G_id").alias("gate"), F.when(F.col("trial_id") % 2 == 0, "H").otherwise("M").alias("severity"), (F.col("trial_id") % 3 == 0).alias("failed"))
     return calibration.gate_ratios(history)
 

@@ -85,3 +85,13 @@ def test_signals_are_told_before_rows_are_dealt_out(spark):
     assert not any("aggregate(sequence" in line or "SQRT" in line for line in met)  # tails by programme, power by card
     made = next(i for i, line in enumerate(met) if "explode" in line)
     assert any("Aggregate" in line for line in met[made:])  # counted before they are made rows of
+
+
+def test_gates_that_are_not_asked_for_cost_nothing(spark):
+    from lodestar.operators import gates
+    from lodestar.plans import trial_queries
+
+    assert "SQRT" not in plan(trial_queries.sc6_ratio_calibration(spark, "/root/testdata/sf0.001"))
+    gated = trial_queries._gated(spark, "/root/testdata/sf0.001")
+    both = [sorted(map(tuple, df.select("trial_id", "G_id", "lr").collect())) for df in (gates.fired_only(gated).where("G_id IN ('G1', 'G3')"), gates.fired_only(gated, ("G1", "G3")))]
+    assert both[0] == both[1]
