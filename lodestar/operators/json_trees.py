@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import sys
 from functools import reduce
+from itertools import accumulate, chain
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.durable import kept
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
+
 #: The sections of a study whose texts are read, in this order.
 SECTIONS = ("extracted_jsonb", "doc", "trial", "primary_endpoints", "secondary_endpoints", "populations", "results", "protocol_changes")
+PLACED = "array<struct<position:array<int>,value:string>>"
 LEAF = "id {id}, keys array<string>, position array<int>, kind string, value string"
 
 
@@ -60,15 +68,43 @@ def leaves(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
 
 def section_texts(df: DataFrame, id_col: str, json_col: str, sections: tuple[str, ...] = SECTIONS) -> DataFrame:
     """id, text: the strings within objects of the sections, in the order of the sections and then of the document, with
-    blanks between them.  Strings that are a section themselves or stand in its list are not read, nor
+    blanks between them; a document's tree is walked at once, not level by level.  Strings that are a section themselves or stand in its list are not read, nor
     those in lists of lists; documents without any string have no row."""
-    rows = leaves(df, id_col, json_col).where((F.col("kind") == "string") & (F.size("keys") > 1) & F.col("keys")[0].isin(*sections))
-    deep = F.get("keys", 1).isNotNull() | (F.size("keys") > 2)
-    nested = F.exists(F.arrays_zip(F.slice("keys", 2, F.size("keys")).alias("a"), F.slice("keys", 3, F.size("keys")).alias("b"), F.sequence(F.lit(2), F.size("keys")).alias("i")), lambda p: (p["i"] < F.size("keys")) & p["a"].isNull() & p["b"].isNull())
-    rank = F.array_position(F.array(*map(F.lit, sections)), F.col("keys")[0]).cast("int")
-    placed = rows.where(deep & ~nested).select("id", F.concat(F.array(rank), "position").alias("position"), "value")
-    by = placed.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("parts"))  # the strings of one document
-    return by.select("id", F.array_join(F.transform("parts", lambda p: p["value"]), " ").alias("text"))
+
+    @F.arrow_udf(PLACED)
+    def strings(body: pa.Array) -> pa.Array:
+        decoder = json.JSONDecoder(parse_int=lambda x: None, parse_float=lambda x: None)  # Python bounds the length of numbers
+        found = [sorted(section_strings(decoder, text, sections)) for text in body.to_pylist()]
+        flat = list(chain.from_iterable(found))
+        offsets = lambda lists: pa.array(list(accumulate(map(len, lists), initial=0)), pa.int32())
+        at = [p for p, _ in flat]
+        positions = pa.ListArray.from_arrays(offsets(at), pa.array(list(chain.from_iterable(at)), pa.int32()))
+        return pa.ListArray.from_arrays(offsets(found), pa.StructArray.from_arrays([positions, pa.array([v for _, v in flat], pa.string())], names=["position", "value"]))
+
+    # what Spark cannot parse has no strings
+    whole = df.select(F.col(id_col).alias("id"), F.col(json_col).alias("raw")).where(F.try_parse_json("raw").isNotNull())
+    placed = whole.select("id", strings("raw").alias("p")).where(F.size("p") > 0)
+    by = placed.groupBy("id").agg(F.collect_list("p").alias("c"))  # the strings of one document; each row's are in order
+    return by.select("id", F.when(F.size("c") == 1, F.get("c", F.lit(0))).otherwise(F.array_sort(F.flatten("c"))).alias("parts")).select("id", F.array_join(F.transform("parts", lambda p: p["value"]), " ").alias("text"))
+
+
+def section_strings(decoder: json.JSONDecoder, text: str, sections: tuple[str, ...]) -> list[tuple[list[int], str]]:
+    """Place (rank of the section, then the place at each level) and value of the strings of one JSON text that
+    `section_texts` reads; of text after the value as little is read as by Spark."""
+    tree, _ = decoder.raw_decode(text.lstrip(" \t\r\n"))
+    found: list[tuple[list[int], str]] = []
+    todo = [([sections.index(k) + 1, i], v, False) for i, (k, v) in enumerate(tree.items()) if k in sections and isinstance(v, dict | list)] if isinstance(tree, dict) else []
+    while todo:
+        at, node, within = todo.pop()
+        listed = isinstance(node, list)
+        if listed and within:  # a list of lists
+            continue
+        for i, v in enumerate(node if listed else node.values()):
+            if type(v) is str and not (listed and len(at) == 2):
+                found.append(([*at, i], v.encode("utf-8", "replace").decode()))
+            elif isinstance(v, dict | list):
+                todo.append(([*at, i], v, listed))
+    return found
 
 
 def canonical(v: Column) -> Column:

@@ -266,7 +266,7 @@ STUDY = """SELECT o_orderkey AS id, '{"results": {"z": "first ' || o_orderstatus
 
 @query(f"SELECT id, 'second ' || CASE WHEN id % 3 = 0 THEN 'tail ' || CAST(o_custkey AS VARCHAR) || ' ' ELSE '' END || 'first ' || o_orderstatus || ' x ' || o_orderpriority AS text FROM ({STUDY}) s")
 def xx3_section_texts(spark, sf_dir):
-    return json_trees.section_texts(A.select(spark, sf_dir, STUDY, "orders"), "id", "body")
+    return json_trees.section_texts(A.select(spark, sf_dir, STUDY, "orders", even=True), "id", "body")
 
 
 # --- fetched pages ------------------------------------------------------------------------------------------

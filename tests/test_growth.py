@@ -95,3 +95,19 @@ def test_gates_that_are_not_asked_for_cost_nothing(spark):
     gated = trial_queries._gated(spark, "/root/testdata/sf0.001")
     both = [sorted(map(tuple, df.select("trial_id", "G_id", "lr").collect())) for df in (gates.fired_only(gated).where("G_id IN ('G1', 'G3')"), gates.fired_only(gated, ("G1", "G3")))]
     assert both[0] == both[1]
+
+
+def test_texts_of_sections_are_read_in_one_pass(spark, monkeypatch):
+    from lodestar.operators import json_trees
+
+    def never(df):
+        raise AssertionError("a level is written")
+
+    monkeypatch.setattr(json_trees, "kept", never)
+    bodies = [
+        '{"results": {"z": "a", "n": 1.5, "l": ["b", {"y": "c"}, [{"u": "lost"}]]}, "doc": ["bare", {"t": "d"}, [["x"]]], "trial": "no", "skip": {"k": "no"}}',
+        '{"doc": {"a": {"b": {"c": ["", "e", null, true]}}}}', '{"doc": {"a": "x", "a": "y"}}', '{"doc": {"a": 1}}', "{", '[{"doc": {"a": "x"}}]', None, '"doc"',
+    ]
+    df = spark.createDataFrame([*enumerate(bodies), (3, '{"doc": {"a": "again"}}'), (3, '{"doc": {"b": "and", "c": "more"}}')], "id int, body string")
+    got = {r["id"]: r["text"] for r in json_trees.section_texts(df, "id", "body").collect()}
+    assert got == {0: "d a b c", 1: " e", 3: "again and more"}
