@@ -336,6 +336,76 @@ def test_scores_by_hand(spark, monkeypatch):
         assert math.isclose(r["perplexity"], 10 ** (-r["score"] / r["n_tokens"]), rel_tol=1e-9)
 
 
+def seated_one_by_one(texts, d, theta, d0, theta0, unknown, sweeps, burn, seed=1):
+    """A plain sampler of the same hierarchy, customer by customer; mean probabilities of a word after a context."""
+    r, h = np.random.default_rng(seed), (1 - unknown) / len({w for t in texts for w in t[1:]})
+    below, above, mean = {}, {}, Counter()  # customers of each table: (context, word), word
+    known, contexts = sorted({w for t in texts for w in t[1:]}), sorted({w for t in texts for w in t[:-1]})
+
+    def root(w):
+        n, t = sum(map(sum, above.values())), sum(map(len, above.values()))
+        return (sum(above.get(w, ())) - d0 * len(above.get(w, ())) + (theta0 + d0 * t) * h) / (theta0 + n)
+
+    def child(u, w):
+        n, t = (sum(f(x) for k, x in below.items() if k[0] == u) for f in (sum, len))
+        x = below.get((u, w), ())
+        return (sum(x) - d * len(x) + (theta + d * t) * root(w)) / (theta + n)
+
+    def sit(tables, discount, new):
+        x = np.array([c - discount for c in tables] + [new])
+        k = int((r.random() * x.sum() > np.cumsum(x)).sum())
+        tables[k : k + 1] = [tables[k] + 1] if k < len(tables) else [1]
+        return k == len(tables) - 1 and tables[k] == 1
+
+    def leave(tables):
+        k = int((r.random() * sum(tables) > np.cumsum(tables)).sum())
+        tables[k] -= 1
+        gone = not tables[k]
+        tables[:] = [c for c in tables if c]
+        return gone
+
+    def enter(u, w):
+        t = sum(len(x) for k, x in below.items() if k[0] == u)
+        if sit(below.setdefault((u, w), []), d, (theta + d * t) * root(w)):
+            sit(above.setdefault(w, []), d0, (theta0 + d0 * sum(map(len, above.values()))) * h)
+
+    pairs = [p for t in texts for p in zip(t, t[1:], strict=False)]
+    for u, w in pairs:
+        enter(u, w)
+    for sweep in range(sweeps):
+        for u, w in pairs:
+            if leave(below[u, w]):
+                leave(above[w])
+            enter(u, w)
+        if sweep >= burn:
+            mean.update({(u, w): child(u, w) / (sweeps - burn) for u in [*contexts, None] for w in known})
+    return mean
+
+
+def test_scores_follow_a_plain_sampler_of_the_hierarchy(spark, monkeypatch):
+    """Contexts' tables are the parent's customers: words after an unknown context are as likely as a sampler of the
+    whole hierarchy finds them, however many texts repeat a bigram."""
+    monkeypatch.setattr(hpylm, "PROBE", 1)
+    fold = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
+    train, held = ([k for k in range(2000) if fold(k) == h] for h in (False, True))
+    said = ["a b"] * 30 + ["c d"] * 6 + ["a d", "c b", "e d", "f d", "g d", "h d a", "e a"]
+    asked = ["z b", "z d", "z a", "a b", "e d"]
+    data = [*zip(train, said, strict=False), *zip(held, asked, strict=False)]
+    texts = [["^", *t.split(), "$"] for t in said]
+    n = Counter(Counter(p for t in texts for p in zip(t, t[1:], strict=False)).values())
+    d = min(0.95, max(0.2, n[1] / (n[1] + 2 * n[2])))
+    p = seated_one_by_one(texts, d, 2.0, 0.6, 20.0, 0.5, 250, 50)
+    got = {r["doc_id"]: r["score"] for r in rows(hpylm.score(spark.createDataFrame(data, "doc_id long, text string"), burn=5, samples=25))}
+    for k, t in zip(held, asked, strict=False):
+        w = t.split()
+        if w[0] == "z":  # p(z) is the same in all of these, so their differences count
+            want = math.log10(p[None, w[1]] * p[w[1], "$"]) - math.log10(p[None, "b"] * p["b", "$"])
+            assert abs(got[k] - got[held[0]] - want) < 0.06, (t, got[k] - got[held[0]], want)
+        else:
+            want = math.log10(p["^", w[0]] * p[w[0], w[1]] * p[w[1], "$"])
+            assert abs(got[k] - want) < 0.03, (t, got[k], want)
+
+
 def test_scores_do_not_depend_on_parts(docs, monkeypatch):
     """Parts are only a unit of work; contexts that are dealt out by the next word give nearly the same."""
     want = {r["doc_id"]: r for r in rows(hpylm.score(docs))}
