@@ -6,7 +6,7 @@ import json
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +71,8 @@ GRADES = ((90, "A"), (80, "B"), (70, "C"), (60, "D"))
 NEEDED = ("study_id", "is_pivotal", "primary_type")
 CORE = ("study_id", "is_pivotal", "primary_type", "arms", "analysis_plan")
 EXTRA = ("primary_result", "subgroups", "inclusion_criteria", "exclusion_criteria", "secondary_endpoints", "safety_endpoints")
+READ = tuple(dict.fromkeys((*CORE, *EXTRA, "indication", "phase", "sponsor", "drug_name", "analysis_plan.alpha", "analysis_plan.one_sided", "analysis_plan.planned_interims", "endpoint_changed_after_lpr")))
+METADATA = ("trial_id", "is_pivotal", "indication", "phase", "sponsor", "drug_name", "primary_endpoint_type", "total_sample_size", "arm_count", "alpha", "one_sided", "planned_interims", "subgroup_count", "subgroup_types")
 EXPERIENCED = (
     "merck", "pfizer", "novartis", "roche", "astrazeneca", "johnson & johnson", "abbvie", "gilead", "amgen", "eli lilly", "glaxosmithkline", "sanofi",
     "biogen", "regeneron", "bristol-myers squibb", "moderna", "biontech",
@@ -107,8 +109,11 @@ def at(card: Column, path: str) -> Column:
 
 def kind_of(v: Column) -> Column:
     """text, number, boolean, array, object or null (JSON's null); null if there is nothing."""
-    named = lambda k: F.when(k == "VOID", "null").when(k == "STRING", "text").when(k == "BOOLEAN", "boolean").when(k.startswith("ARRAY"), "array").when(k.startswith("OBJECT"), "object").when(k.isNotNull(), "number")
-    return let(F.schema_of_variant(v), named)
+    return let(F.schema_of_variant(v), _kind)
+
+
+def _kind(k: Column) -> Column:
+    return F.when(k == "VOID", "null").when(k == "STRING", "text").when(k == "BOOLEAN", "boolean").when(k.startswith("ARRAY"), "array").when(k.startswith("OBJECT"), "object").when(k.isNotNull(), "number")
 
 
 def text_of(v: Column) -> Column:
@@ -141,8 +146,11 @@ def _number(x: Column) -> Column:
 
 def whole_of(v: Column) -> Column:
     """A number cut to a whole one, a text of digits, or a flag; else null."""
-    k, s = kind_of(v), text_of(v)
-    return F.when((k == "text") & ~F.trim(s).rlike(r"^[+-]?\d+$"), F.lit(None)).otherwise(number_of(v)).cast("long")
+    return let(v, lambda x: let(_kind_and_text(x), _whole))
+
+
+def _whole(x: Column) -> Column:
+    return F.when((x["kind"] == "text") & ~F.trim(x["text"]).rlike(r"^[+-]?\d+$"), F.lit(None)).otherwise(_number(x)).cast("long")
 
 
 def size_of(v: Column) -> Column:
@@ -379,62 +387,120 @@ def card_errors(card: Column) -> Column:
     )
 
 
+def raw_values(card: Column) -> list[Column]:
+    """What the rules below read of a raw card, each read once: by path its schema (path_k) and text (path_s), sizes of its
+    objects and lists, and schemas and texts from under arms, results and subgroups."""
+    kept = lambda v, name: (F.schema_of_variant(v).alias(f"{name}_k"), text_of(v).alias(f"{name}_s"))
+    values = lambda path: F.map_values(F.try_variant_get(card, _path(path), "map<string,variant>"))
+    under = lambda *names: lambda e: F.struct(*(c for n in names for c in kept(at(e, n), n)))
+    return [
+        *(c for p in READ for c in kept(at(card, p), p.replace(".", "_"))),
+        *(size_of(at(card, p)).alias(f"{p}_size") for p in ("arms", "subgroups", "primary_result")),
+        F.transform(values("arms"), under("n", "dropout")).alias("arm_values"), F.transform(values("primary_result"), under("p")).alias("result_values"),
+        F.transform(F.try_variant_get(card, _path("subgroups"), "array<variant>"), lambda g: F.struct(F.schema_of_variant(g).alias("k"), text_of(at(g, "name")).alias("name"))).alias("subgroup_values"),
+    ]
+
+
+def _value(get, name: str) -> dict[str, Column]:
+    """Kind and text of a value of raw_values; get gives a column by name."""
+    return {"kind": _kind(get(f"{name}_k")), "text": get(f"{name}_s")}
+
+
+def _there(get, name: str) -> Column:
+    """_holds of a value of raw_values, told from its schema."""
+    k, s = get(f"{name}_k"), get(f"{name}_s")
+    return F.coalesce(F.when(k == "STRING", s != "").when(k == "BOOLEAN", s == "true").when(k.startswith("ARRAY") | k.startswith("OBJECT"), ~s.isin("[]", "{}")).when(k != "VOID", s.try_cast("double") != 0), F.lit(False))
+
+
+def _from(card: Column, rule) -> Column:
+    """A rule on raw_values as an expression of the card alone."""
+    return let(F.struct(*raw_values(card)), lambda x: rule(lambda name: x[name]))
+
+
+def _metadata(get) -> dict[str, Column]:
+    value = lambda name: _value(get, name)
+    said = lambda c: F.coalesce(get(f"{c}_s"), F.lit("unknown"))
+    arms, groups = value("arms")["kind"], value("subgroups")["kind"]
+    whole = lambda a, e: a + F.when(e["n_k"].isNotNull(), F.coalesce(_whole(_value(lambda n: e[n], "n")), F.lit(0))).otherwise(0)
+    total = F.aggregate(F.coalesce(get("arm_values"), F.array().cast("array<struct<n_k:string,n_s:string,dropout_k:string,dropout_s:string>>")), F.lit(0).cast("long"), whole)
+    names = F.transform(F.filter(get("subgroup_values"), lambda g: _kind(g["k"]) == "object"), lambda g: F.coalesce(g["name"], F.lit("unknown")))
+    return {
+        "trial_id": get("study_id_s"), "is_pivotal": _there(get, "is_pivotal"), **{c: said(c) for c in ("indication", "phase", "sponsor", "drug_name")}, "primary_endpoint_type": said("primary_type"),
+        "total_sample_size": F.when(arms == "object", total), "arm_count": F.when(arms == "object", get("arms_size")),
+        "alpha": _number(value("analysis_plan_alpha")), "one_sided": _there(get, "analysis_plan_one_sided"),
+        "planned_interims": F.coalesce(_whole(value("analysis_plan_planned_interims")), F.lit(0)),
+        "subgroup_count": F.when(groups == "array", get("subgroups_size")), "subgroup_types": names,
+    }
+
+
+def _struct(columns: dict[str, Column]) -> Column:
+    return F.struct(*(c.alias(n) for n, c in columns.items()))
+
+
 def metadata(card: Column) -> Column:
     """Struct of a raw card's trial, arms and plan; texts that aren't there are `unknown`."""
-    said = lambda c: F.coalesce(text_of(at(card, c)), F.lit("unknown"))
-    arms, plan, groups = at(card, "arms"), at(card, "analysis_plan"), at(card, "subgroups")
-    sizes = F.transform(F.filter(_entries(arms), lambda e: at(e["value"], "n").isNotNull()), lambda e: whole_of(at(e["value"], "n")))
-    names = F.transform(F.filter(F.try_variant_get(groups, "$", "array<variant>"), lambda g: kind_of(g) == "object"), lambda g: F.coalesce(text_of(at(g, "name")), F.lit("unknown")))
-    return F.struct(
-        text_of(at(card, "study_id")).alias("trial_id"), F.coalesce(truthy(at(card, "is_pivotal")), F.lit(False)).alias("is_pivotal"),
-        *(said(c).alias(c) for c in ("indication", "phase", "sponsor", "drug_name")), said("primary_type").alias("primary_endpoint_type"),
-        F.when(kind_of(arms) == "object", F.aggregate(sizes, F.lit(0).cast("long"), lambda a, n: a + F.coalesce(n, F.lit(0)))).alias("total_sample_size"), F.when(kind_of(arms) == "object", size_of(arms)).alias("arm_count"),
-        number_of(at(plan, "alpha")).alias("alpha"), truthy(at(plan, "one_sided")).alias("one_sided"), F.coalesce(whole_of(at(plan, "planned_interims")), F.lit(0)).alias("planned_interims"),
-        F.when(kind_of(groups) == "array", size_of(groups)).alias("subgroup_count"), names.alias("subgroup_types"),
-    )
+    return _from(card, lambda get: _struct(_metadata(get)))
+
+
+def _completeness(get) -> Column:
+    share = lambda names: reduce(lambda a, b: a + b, (_there(get, c).cast("int") for c in names)) / len(names)
+    return share(CORE) * 0.7 + share(EXTRA) * 0.3
 
 
 def completeness(card: Column) -> Column:
     """0.7 of the share of core fields that hold something, 0.3 of that of the others."""
-    share = lambda names: reduce(lambda a, b: a + b, (truthy(at(card, c)).cast("int") for c in names)) / len(names)
-    return share(CORE) * 0.7 + share(EXTRA) * 0.3
+    return _from(card, _completeness)
+
+
+def _data_quality(get) -> Column:
+    odd = lambda k: F.when(k.isNotNull() & ~_kind(k).isin("number", "boolean"), 1).otherwise(0)
+    out = lambda k, x, low: F.when(k.isNotNull(), F.coalesce(low(_number(x)), F.lit(True)).cast("int")).otherwise(0)
+    counted = lambda values, add: F.coalesce(F.aggregate(values, F.lit(0), lambda a, e: a + add(e)), F.lit(0))
+    arms = counted(get("arm_values"), lambda e: odd(e["n_k"]) + odd(e["dropout_k"]))
+    alpha = F.when(_value(get, "analysis_plan")["kind"] == "object", out(get("analysis_plan_alpha_k"), _value(get, "analysis_plan_alpha"), lambda x: (x <= 0) | (x >= 1))).otherwise(0)
+    p = counted(get("result_values"), lambda e: out(e["p_k"], _value(lambda n: e[n], "p"), lambda x: (x < 0) | (x > 1)))
+    return F.greatest(F.lit(0.0), F.round(F.lit(1.0) - arms * 0.1 - (alpha + p) * 0.2, 9))
 
 
 def data_quality(card: Column) -> Column:
     """1 less 0.1 for every size or dropout of an arm that's no number, 0.2 for an alpha and each p-value out of range."""
-    plan = at(card, "analysis_plan")
-    odd = lambda v: (v.isNotNull() & ~F.coalesce(kind_of(v).isin("number", "boolean"), F.lit(False))).cast("int")
-    off = lambda bad: F.coalesce(bad, F.lit(True)).cast("int")
-    out = lambda v, low: F.when(v.isNotNull(), off(low(number_of(v)))).otherwise(0)
-    arms = F.aggregate(_entries(at(card, "arms")), F.lit(0), lambda a, e: a + odd(at(e["value"], "n")) + odd(at(e["value"], "dropout")))
-    alpha = F.when(kind_of(plan) == "object", out(at(plan, "alpha"), lambda x: (x <= 0) | (x >= 1))).otherwise(0)
-    p = F.aggregate(_entries(at(card, "primary_result")), F.lit(0), lambda a, e: a + out(at(e["value"], "p"), lambda x: (x < 0) | (x > 1)))
-    return F.greatest(F.lit(0.0), F.round(F.lit(1.0) - arms * 0.1 - (alpha + p) * 0.2, 9))
+    return _from(card, _data_quality)
+
+
+def _noted(get) -> list[Column]:
+    """What enrichment tells of raw_values and of the columns of _metadata."""
+    holds = lambda words: reduce(lambda a, b: a | b, (F.lower(get("indication")).contains(w) for w in words))
+    plan = get("planned_interims")
+    n, groups = F.coalesce(get("total_sample_size"), F.lit(0)), F.coalesce(get("subgroup_count"), F.lit(0))
+    risks = F.array_compact(
+        F.array(
+            F.when(n < 100, F.lit("small_sample_size")).when(n > 10_000, F.lit("very_large_sample_size")), F.when(plan > 3, F.lit("multiple_interim_analyses")),
+            F.when(groups > 5, F.lit("many_subgroups")), F.when(_there(get, "endpoint_changed_after_lpr"), F.lit("endpoint_changed_after_lpr")),
+        )
+    )
+    return [
+        F.when(F.lower(get("sponsor")).isin(*EXPERIENCED), "experienced").otherwise("novice").alias("sponsor_experience"),
+        reduce(lambda rest, k: F.when(holds(INDICATIONS[k]), k).otherwise(rest), reversed(list(INDICATIONS)), F.lit("other")).alias("indication_category"),
+        reduce(lambda rest, k: F.when(F.lower(get("phase")).isin(*PHASE_KINDS[k]), k).otherwise(rest), reversed(list(PHASE_KINDS)), F.lit("unknown")).alias("phase_category"),
+        F.when(groups > 3, "complex").when(get("primary_result_size") > 2, "moderate").otherwise("simple").alias("endpoint_complexity"),
+        F.when(plan > 2, "complex").when(plan > 0, "moderate").otherwise("simple").alias("statistical_complexity"),
+        risks.alias("risk_factors"),
+        _completeness(get).alias("completeness"), _data_quality(get).alias("data_quality"),
+    ]
 
 
 def enrichment(card: Column) -> Column:
     """Struct of what a raw card says of its sponsor, indication, phase, complexity, risks and quality."""
-    m = metadata(card)
-
-    def of(m):
-        low = lambda c: F.lower(m[c])
-        holds = lambda words: reduce(lambda a, b: a | b, (low("indication").contains(w) for w in words))
-        plan = m["planned_interims"]
-        n, groups = F.coalesce(m["total_sample_size"], F.lit(0)), F.coalesce(m["subgroup_count"], F.lit(0))
-        risks = F.array_compact(
-            F.array(
-                F.when(n < 100, F.lit("small_sample_size")).when(n > 10_000, F.lit("very_large_sample_size")), F.when(plan > 3, F.lit("multiple_interim_analyses")),
-                F.when(groups > 5, F.lit("many_subgroups")), F.when(truthy(at(card, "endpoint_changed_after_lpr")), F.lit("endpoint_changed_after_lpr")),
-            )
-        )
-        return F.struct(
-            F.when(low("sponsor").isin(*EXPERIENCED), "experienced").otherwise("novice").alias("sponsor_experience"),
-            reduce(lambda rest, k: F.when(holds(INDICATIONS[k]), k).otherwise(rest), reversed(list(INDICATIONS)), F.lit("other")).alias("indication_category"),
-            reduce(lambda rest, k: F.when(low("phase").isin(*PHASE_KINDS[k]), k).otherwise(rest), reversed(list(PHASE_KINDS)), F.lit("unknown")).alias("phase_category"),
-            F.when(groups > 3, "complex").when(size_of(at(card, "primary_result")) > 2, "moderate").otherwise("simple").alias("endpoint_complexity"),
-            F.when(plan > 2, "complex").when(plan > 0, "moderate").otherwise("simple").alias("statistical_complexity"),
-            risks.alias("risk_factors"),
-            completeness(card).alias("completeness"), data_quality(card).alias("data_quality"),
-        )
+    return _from(card, lambda get: let(_struct(_metadata(get)), lambda m: F.struct(*_noted(lambda name: m[name] if name in METADATA else get(name)))))
+
+
+def with_metadata(df: DataFrame, card: str, *keep: str) -> DataFrame:
+    """The columns `keep` and those of `metadata`, in projections that follow each other, so that each value is worked out once."""
+    return df.select(*keep, *raw_values(F.col(card))).select(*keep, *(c.alias(n) for n, c in _metadata(F.col).items()))
+
 
-    return let(m, of)
+def with_enrichment(df: DataFrame, card: str, *keep: str) -> DataFrame:
+    """The columns `keep` and those of `enrichment`, as with_metadata."""
+    told = df.select(*keep, *raw_values(F.col(card)))
+    own = {n: c.alias(f"m_{n}") for n, c in _metadata(F.col).items() if n not in ("subgroup_types", "arm_count", "alpha", "one_sided")}
+    return told.select("*", *own.values()).select(*keep, *_noted(lambda name: F.col(f"m_{name}" if name in METADATA else name)))

@@ -113,7 +113,7 @@ def qc12_card_errors(spark, sf_dir):
     concat_ws(',', CASE WHEN n < 100 THEN 'small_sample_size' END, CASE WHEN looks > 3 THEN 'multiple_interim_analyses' END) AS risk_factors, completeness::DOUBLE AS completeness, data_quality::DOUBLE AS data_quality FROM t"""
 )
 def qc12_card_enrichment(spark, sf_dir):
-    e = raw(spark, sf_dir).select("id", cards.enrichment(F.col("card")).alias("e")).select("id", "e.*")
+    e = cards.with_enrichment(raw(spark, sf_dir), "card", "id")
     return e.withColumns({"risk_factors": F.concat_ws(",", "risk_factors"), "completeness": F.round("completeness", 6), "data_quality": F.round("data_quality", 6)})
 
 
@@ -123,5 +123,5 @@ def qc12_card_enrichment(spark, sf_dir):
     f"CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN 1.5::DOUBLE ELSE 0.05::DOUBLE END AS alpha, id % 13 AS planned_interims, CAST(CASE id % 9 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS INT) AS subgroup_count, CASE id % 9 WHEN 0 THEN 'unknown,k' ELSE '' END AS subgroup_types FROM {RAWS}"
 )
 def qc13_card_metadata(spark, sf_dir):
-    m = raw(spark, sf_dir).select("id", cards.metadata(F.col("card")).alias("m")).select("id", "m.*")
+    m = cards.with_metadata(raw(spark, sf_dir), "card", "id")
     return m.withColumn("subgroup_types", F.concat_ws(",", "subgroup_types")).select("id", "trial_id", "is_pivotal", "drug_name", "primary_endpoint_type", "total_sample_size", "arm_count", "alpha", "planned_interims", "subgroup_count", "subgroup_types")

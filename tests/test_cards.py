@@ -68,3 +68,20 @@ def test_raw_card_errors(spark):
         "Study ID too long (max 100 characters)", "Arm a sample size must be a valid integer", "Arm b sample size too large (max 100,000)", "Analysis plan must be a dictionary",
         "Primary result i must be a dictionary", "P-value in j must be a valid number", "Subgroups must be a list",
     ]
+
+
+def test_enrichment_of_tables_reads_values_once(spark):
+    """The same as of columns on odd cards, with loops only over what a card lists (before: at every mention of a value)."""
+    odd = [
+        None, "{}", "[]", "3", '"x"', '{"arms":null,"analysis_plan":[],"primary_result":3,"subgroups":{}}',
+        '{"study_id":false,"is_pivotal":"false","primary_type":0,"arms":{"a":{"n":"12","dropout":null},"b":{"n":7.9},"c":{"n":true},"d":4,"e":{"n":"1.5"}},"analysis_plan":{"alpha":"0.1","one_sided":1,"planned_interims":"4"}}',
+        '{"sponsor":"PFIZER","indication":"Skin Tumor","phase":"Phase_2B","arms":{"a":{"n":20000}},"analysis_plan":{"alpha":true,"planned_interims":2.9},"primary_result":{"a":{"p":null},"b":{"p":"0.5"},"c":{"p":-1},"d":1},"subgroups":[1,{"name":null},{"n":2},{"name":[1]}],"endpoint_changed_after_lpr":[0]}',
+    ]
+    df = spark.createDataFrame(list(enumerate(odd)), "id int, t string").select("id", F.parse_json("t").alias("c"))
+    for whole, column in ((cards.with_enrichment, cards.enrichment), (cards.with_metadata, cards.metadata)):
+        got = whole(df, "c", "id")
+        want = df.select("id", column(F.col("c")).alias("x")).select("id", "x.*")
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction(") < 12
+        if whole is cards.with_metadata:
+            assert [r.one_sided for r in got.orderBy("id").collect()] == [False] * 6 + [True, False]
